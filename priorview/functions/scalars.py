@@ -96,7 +96,7 @@ def share(a: Column, b: Column) -> Column:
 
 def clean(c: Column | str) -> Column:
     """Runs of white space as one blank, none at the ends."""
-    return F.trim(F.regexp_replace(col(c), r"\s+", " "))
+    return F.trim(F.regexp_replace(col(c), r"[\t-\r\x1c-\x20\x85\p{Z}]+", " "))
 
 
 def without_www(c: Column | str) -> Column:
