@@ -116,7 +116,7 @@ def fill_missing(df: DataFrame, key: str, rules: Rules) -> DataFrame:
     value was found. ``_method`` is cluster, parent, all or none (no row has a value: the cell is
     null), and null for cells that were kept. Numeric medians are the lower of two middle values, so
     a filled value is one that was observed; ties of modes go to the first in order. Extra columns
-    pass through; an empty table gives an empty one.
+    pass through, but those named as a flag, which are replaced; an empty table gives an empty one.
     """
     x = {c: _number(df, c, b) for c, b in rules.numeric.items()} | {c: _category(c) for c in rules.categorical}
     rows = materialise(df.select(F.col(key).alias("_key"), *[e.alias(f"x_{c}") for c, e in x.items()]), "prototypes")
@@ -138,8 +138,8 @@ def fill_missing(df: DataFrame, key: str, rules: Rules) -> DataFrame:
     best = ranked.groupBy("level", "g", "c").agg(F.first("total").alias("total"), F.when(F.first(numeric), middle.cast("string")).otherwise(mode).alias("value"))
     stats = {(r.level, r.g, r.c): (r.total, r.value) for r in best.collect()}  # (k + parents + 1) * columns rows
 
-    out = df.withColumn("_x", F.struct(*[e.alias(f"x_{c}") for c, e in x.items()]))
-    flat = _with_cluster(out.select("*", *[F.col(f"_x.x_{c}").alias(f"x_{c}") for c in x]), prototypes, rules, scale)
+    # The given row is one struct, so that none of its names can clash with the features'.
+    flat = _with_cluster(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[e.alias(f"x_{c}") for c, e in x.items()]), prototypes, rules, scale)
     added = []
     for c in rules.fill:
         choice = []
@@ -153,8 +153,9 @@ def fill_missing(df: DataFrame, key: str, rules: Rules) -> DataFrame:
             value = value.cast("double")
             value = F.date_from_unix_date(value.cast("int")) if _is_date(df, c) else value.cast(df.schema[c].dataType)
         missing = F.col(f"x_{c}").isNull()
-        added += [F.when(missing, value).otherwise(F.col(c)).alias(c), missing.alias(f"{c}_filled"), F.when(missing, F.element_at(F.array(*[F.lit(m) for m, _ in choice]), at)).alias(f"{c}_method")]
-    return flat.select(*[c for c in df.columns if c not in rules.fill], *added)
+        added += [F.when(missing, value).otherwise(F.col(f"_row.`{c}`")).alias(c), missing.alias(f"{c}_filled"), F.when(missing, F.element_at(F.array(*[F.lit(m) for m, _ in choice]), at)).alias(f"{c}_method")]
+    made = {n for c in rules.fill for n in (c, f"{c}_filled", f"{c}_method")}
+    return flat.select(*[F.col(f"_row.`{c}`").alias(c) for c in df.columns if c not in made], *added)
 
 
 def filled_cells(filled: DataFrame, key: str, columns: list[str]) -> DataFrame:

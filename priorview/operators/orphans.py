@@ -72,7 +72,7 @@ class Ranges:
         start = len(self.prefix) + 1
         byte = F.rpad(F.substring(F.hex(F.substring(F.encode(F.substring(key, start, 6), "utf-8"), 1, 6)), 1, 12), 12, "0")
         number = F.conv(byte, 16, 10).cast("bigint")
-        cell = F.least(F.greatest(F.floor((number - self.low) * (CELLS / max(1, self.high - self.low))).cast("int"), F.lit(0)), F.lit(CELLS - 1))
+        cell = F.least(F.greatest(F.floor((number - self.low) * (CELLS / max(1, self.high - self.low))), F.lit(0)), F.lit(CELLS - 1)).cast("int")
         if self.prefix:
             cell = F.when(key.startswith(self.prefix), cell).when(key < self.prefix, F.lit(0)).otherwise(F.lit(CELLS - 1))
         return F.element_at(_ints(self.cells), cell + 1)
