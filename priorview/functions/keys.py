@@ -36,7 +36,7 @@ def current_rows(df: DataFrame, key: str, columns: list[str], order: str = "scra
     return best.select(F.col("_k").alias(key), *[F.col(f"_r.{c}").alias(c) for c in (columns if order in columns else kept) if c != key])
 
 
-def hot_keys(parts: list[DataFrame], share: float) -> list[str]:
+def hot_keys(parts: list[DataFrame], share: float) -> list:
     """Keys that hold more than ``share`` of all rows of the one-column frames ``parts``.
 
     At most ``1 / share`` keys can do so, which bounds what reaches the driver. Counts are combined

@@ -96,5 +96,5 @@ def attributes_as_known(
 
 
 def find_hot(parts: list[DataFrame]) -> list[str]:
-    """Entities with so many rows that one task shouldn't hold them: over a quarter of an average task's rows times four tasks."""
+    """Entities that alone hold over a quarter of the rows that a task holds on average; at most four a task."""
     return hot_keys(parts, 1.0 / (4 * max(4, shuffle_width(parts[0].sparkSession))))

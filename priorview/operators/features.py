@@ -90,7 +90,7 @@ def physical_features(last_day: str = "last_day", first_day: str = "first_day")
         "height_cm": tall, "reach_cm": reach, "weight_lbs": F.col("weight_lbs").cast("double"), "reach_to_height_ratio": rate(F.nullif(reach, F.lit(0.0)), tall),
         "age_at_fight": age, "age_squared": age * age, "stance": F.nullif(F.lower(F.trim("stance")), F.lit("")), "is_debut": n == 0,
         "days_since_last_fight": days, "is_long_layoff": F.coalesce(days > 365, F.lit(False)), "fights_per_year": F.when(n > 0, rate(n, (F.col("day") - F.col(first_day)) / F.lit(365.25))),
-        "ufc_fight_count": n.cast("int"), "five_round_experience": F.coalesce("five", F.lit(0)).cast("int"), "title_fight_experience": F.coalesce("title", F.lit(0)).cast("int"),
+        "fight_count": n.cast("int"), "five_round_experience": F.coalesce("five", F.lit(0)).cast("int"), "title_fight_experience": F.coalesce("title", F.lit(0)).cast("int"),
         "dob_missing": F.col("dob").isNull(), "height_missing": F.col("height_cm").isNull(), "reach_missing": F.col("reach_cm").isNull(),
     }
 
@@ -281,11 +281,11 @@ def bout_table(s: DataFrame) -> DataFrame:
 
 def bout_pairs(s: DataFrame) -> DataFrame:
     """The other pairing of the two sides: nine differences, four shares, three matchup flags and the label, unrounded."""
-    diffs = {"age_diff": "age_at_fight", "height_diff": "height_cm", "reach_diff": "reach_cm", "elo_diff": "pre_fight_elo", "win_rate_diff": "win_rate", "career_sig_strike_rate_diff": "career_sig_strikes_landed_per_min", "career_takedown_rate_diff": "career_takedown_accuracy", "career_control_time_diff": "career_control_time_per_fight", "experience_diff": "ufc_fight_count"}
-    shares = {"experience_ratio": "ufc_fight_count", "win_rate_ratio": "win_rate", "sig_strike_accuracy_ratio": "career_sig_strike_accuracy", "takedown_accuracy_ratio": "career_takedown_accuracy"}
+    diffs = {"age_diff": "age_at_fight", "height_diff": "height_cm", "reach_diff": "reach_cm", "elo_diff": "pre_fight_elo", "win_rate_diff": "win_rate", "career_sig_strike_rate_diff": "career_sig_strikes_landed_per_min", "career_takedown_rate_diff": "career_takedown_accuracy", "career_control_time_diff": "career_control_time_per_fight", "experience_diff": "fight_count"}
+    shares = {"experience_ratio": "fight_count", "win_rate_ratio": "win_rate", "sig_strike_accuracy_ratio": "career_sig_strike_accuracy", "takedown_accuracy_ratio": "career_takedown_accuracy"}
     a, b = F.col("a.stance"), F.col("b.stance")
     return _sides(s).select(
         *_bout_keys(), *[(F.col(f"a.{c}") - F.col(f"b.{c}")).alias(n) for n, c in diffs.items()], *[share(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(n) for n, c in shares.items()],
         F.when(a.isNotNull() & b.isNotNull(), F.concat(F.least(a, b), F.lit("_vs_"), F.greatest(a, b))).alias("stance_matchup"),
-        (F.col("a.reach_cm") > F.col("b.reach_cm")).alias("is_reach_advantage_a"), (F.coalesce(F.col("a.ufc_fight_count"), F.lit(0)) > F.coalesce(F.col("b.ufc_fight_count"), F.lit(0))).alias("is_experience_advantage_a"),
+        (F.col("a.reach_cm") > F.col("b.reach_cm")).alias("is_reach_advantage_a"), (F.coalesce(F.col("a.fight_count"), F.lit(0)) > F.coalesce(F.col("b.fight_count"), F.lit(0))).alias("is_experience_advantage_a"),
     )

@@ -144,7 +144,7 @@ SELECT t.fight_id, t.me AS fighter_id, {', '.join(f'round(avg(h.r{i}), 6) AS {k}
 _ACT = f"SELECT t.fight_id, t.me, any_value(t.d) AS d, {_N} AS n, {_cnt('h.rounds = 5')} AS five, {_cnt('h.title')} AS ti, min(h.d) AS d0, max(h.d) AS d1 {_HIST}"
 _PHY = f"""SELECT fight_id, me AS fighter_id, round(height_cm::DOUBLE, 6) AS height_cm, round(reach_cm::DOUBLE, 6) AS reach_cm, round(weight_lbs::DOUBLE, 6) AS weight_lbs, round({_div('nullif(reach_cm, 0)', 'height_cm')}, 6) AS reach_to_height_ratio,
  round(date_diff('day', dob, d) / 365.25, 6) AS age_at_fight, round(pow(date_diff('day', dob, d) / 365.25, 2), 6) AS age_squared, nullif(lower(trim(stance)), '') AS stance, n = 0 AS is_debut, date_diff('day', d1, d)::INT AS days_since_last_fight, coalesce(date_diff('day', d1, d) > 365, false) AS is_long_layoff,
- round(n / nullif(date_diff('day', d0, d) / 365.25, 0), 6) AS fights_per_year, n AS ufc_fight_count, five AS five_round_experience, ti AS title_fight_experience, dob IS NULL AS dob_missing, height_cm IS NULL AS height_missing, reach_cm IS NULL AS reach_missing FROM act LEFT JOIN f ON f.k = act.me"""
+ round(n / nullif(date_diff('day', d0, d) / 365.25, 0), 6) AS fights_per_year, n AS fight_count, five AS five_round_experience, ti AS title_fight_experience, dob IS NULL AS dob_missing, height_cm IS NULL AS height_missing, reach_cm IS NULL AS reach_missing FROM act LEFT JOIN f ON f.k = act.me"""
 
 SQL = {
     "q_participants": f"WITH {_BASE} SELECT fight_id, me AS fighter_id, ot AS opponent_id, d AS event_date, won, title AS is_title_fight, dur, has_my AS has_my_stats, has_opp AS has_opp_stats, my_sig_l, op_sig_l AS opp_sig_l FROM p",
@@ -215,10 +215,10 @@ def _bout_sql() -> str:
 
 
 def _pair_sql() -> str:
-    d = {"age_diff": "age_at_fight", "height_diff": "height_cm", "reach_diff": "reach_cm", "elo_diff": "pre_elo", "win_rate_diff": "win_rate", "career_sig_strike_rate_diff": "career_sig_strikes_landed_per_min", "career_takedown_rate_diff": "career_takedown_accuracy", "career_control_time_diff": "career_control_time_per_fight", "experience_diff": "ufc_fight_count"}
-    r = {"experience_ratio": "ufc_fight_count", "win_rate_ratio": "win_rate", "sig_strike_accuracy_ratio": "career_sig_strike_accuracy", "takedown_accuracy_ratio": "career_takedown_accuracy"}
+    d = {"age_diff": "age_at_fight", "height_diff": "height_cm", "reach_diff": "reach_cm", "elo_diff": "pre_elo", "win_rate_diff": "win_rate", "career_sig_strike_rate_diff": "career_sig_strikes_landed_per_min", "career_takedown_rate_diff": "career_takedown_accuracy", "career_control_time_diff": "career_control_time_per_fight", "experience_diff": "fight_count"}
+    r = {"experience_ratio": "fight_count", "win_rate_ratio": "win_rate", "sig_strike_accuracy_ratio": "career_sig_strike_accuracy", "takedown_accuracy_ratio": "career_takedown_accuracy"}
     cols = [f"round(a.{c} - b.{c}, 6) AS {k}" for k, c in d.items()] + [f"round(a.{c}::DOUBLE / nullif(a.{c} + b.{c}, 0), 6) AS {k}" for k, c in r.items()]
-    return f"{_WIDE} SELECT {_BOUT_KEYS}, {', '.join(cols)}, CASE WHEN a.stance IS NOT NULL AND b.stance IS NOT NULL THEN least(a.stance, b.stance) || '_vs_' || greatest(a.stance, b.stance) END AS stance_matchup, a.reach_cm > b.reach_cm AS is_reach_advantage_a, a.ufc_fight_count > b.ufc_fight_count AS is_experience_advantage_a {_TWO}"
+    return f"{_WIDE} SELECT {_BOUT_KEYS}, {', '.join(cols)}, CASE WHEN a.stance IS NOT NULL AND b.stance IS NOT NULL THEN least(a.stance, b.stance) || '_vs_' || greatest(a.stance, b.stance) END AS stance_matchup, a.reach_cm > b.reach_cm AS is_reach_advantage_a, a.fight_count > b.fight_count AS is_experience_advantage_a {_TWO}"
 
 
 SQL |= {"q_snapshots": _snapshot_sql(), "q_bouts": _bout_sql(), "q_bout_pairs": _pair_sql()}

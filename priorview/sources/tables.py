@@ -44,8 +44,7 @@ def with_status(events: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def read_pages(spark: SparkSession, glob: str) -> DataFrame:
     """(path, html) of saved pages, one row a file; bytes that are no UTF-8 become U+FFFD."""
-    files = spark.read.format("binaryFile").load(glob)
-    return files.select("path", F.decode("content", "UTF-8").alias("html")) if spark.conf.get("spark.sql.legacy.codingErrorAction", "false") == "true" else files.select("path", F.expr("cast(content as string)").alias("html"))
+    return spark.read.format("binaryFile").load(glob).select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("html"))
 
 
 def read_database(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
