@@ -216,14 +216,15 @@ def _window_win_rate(n: int) -> Column:
 
 def stored(e: Column, kind: str) -> Column:
     """``e`` as a sink's type. Noise of the last digits is rounded off first, so that the order in which doubles were
-    summed can't turn a tie the other way."""
-    return (F.round(e.cast("double"), 9) if kind.startswith("decimal") else e).cast(kind)
+    summed can't turn a tie the other way. A value that the type can't hold (typed measures reach 999.99, so their
+    differences may leave decimal(5,2)) is null."""
+    return (F.round(e.cast("double"), 9) if kind.startswith("decimal") else e).try_cast(kind)
 
 
 def snapshot_table(s: DataFrame) -> DataFrame:
     """Snapshots as the table ``fighter_snapshots`` has them: names, types (decimals rounded half up; too large a value
-    raises), and the columns that nothing computes as typed nulls. Without computed_at, which a sink adds."""
-    small = lambda c: F.col(c).cast("smallint")
+    is null), and the columns that nothing computes as typed nulls. Without computed_at, which a sink adds."""
+    small = lambda c: F.col(c).try_cast("smallint")
     dec = lambda e, p, q: stored(e, f"decimal({p},{q})")
     none = lambda kind: F.lit(None).cast(kind)
     out = {"fighter_id": F.col("fighter_id"), "fight_id": F.col("fight_id"), "as_of_date": F.col("as_of_date"), "feature_version": F.lit(1).cast("smallint")}

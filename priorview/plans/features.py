@@ -178,7 +178,7 @@ w AS (SELECT p.side, p.d AS as_of_date, p.weight_class, p.title, p.rounds, p.res
 
 
 def _d(e: str, p: int, q: int) -> str:
-    return f"CAST(round(({e})::DOUBLE, 9) AS DECIMAL({p},{q}))"
+    return f"TRY_CAST(round(({e})::DOUBLE, 9) AS DECIMAL({p},{q}))"
 
 
 def _snapshot_sql() -> str:
