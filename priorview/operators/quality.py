@@ -105,7 +105,7 @@ def gaps(wanted: DataFrame, fetched: DataFrame, parsed: DataFrame, key: str) ->
 
 def leakage_audit(snapshots: DataFrame, participants: DataFrame, bouts: DataFrame) -> DataFrame:
     """(check_name, rows, failures) over all rows: counts equal an independent count of earlier bouts; counts never fall
-    from one day of an entity to the next; debuts start at 1500; the winner of equals gains; labels follow the winner."""
+    from one day of an entity to the next; entities without an earlier day are debuts; labels follow the winner. Ratings: ``elo_audit``."""
     from pyspark.sql import Window
 
     days = participants.groupBy("fighter_id", "day").agg(F.count(F.lit(1)).alias("k"))
@@ -115,8 +115,24 @@ def leakage_audit(snapshots: DataFrame, participants: DataFrame, bouts: DataFram
     by_day = s.groupBy("fighter_id", "day").agg(F.min("total_fights").alias("lo"), F.max("total_fights").alias("hi"))
     step = F.lag("hi").over(Window.partitionBy("fighter_id").orderBy("day"))
     monotone = by_day.withColumn("_before", step).agg(F.count(F.lit(1)).alias("rows"), F.count_if((F.col("lo") != F.col("hi")) | (F.col("lo") <= F.col("_before"))).alias("failures")).select(F.lit("monotone").alias("check_name"), "*")
-    debut = snapshots.filter(F.col("is_debut") & F.col("elo_change_last_fight").isNull()).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("total_fights") != 0).alias("failures")).select(F.lit("debut").alias("check_name"), "*")
+    debut = s.filter("prior = 0").agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("is_debut") | (F.col("total_fights") != 0)).alias("failures")).select(F.lit("debut").alias("check_name"), "*")
     label = F.when(F.col("result_type") == "win", F.when(F.col("winner_fighter_id") == F.col("f1"), 1).when(F.col("winner_fighter_id") == F.col("f2"), 0))
     truth = participants.filter("side = 1").select("fight_id", "result_type", "winner_fighter_id", F.col("fighter_id").alias("f1"), F.col("opponent_id").alias("f2"))
     labels = bouts.join(truth, "fight_id").agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("label").eqNullSafe(label)).alias("failures")).select(F.lit("label").alias("check_name"), "*")
     return count_check.unionByName(monotone).unionByName(debut).unionByName(labels)
+
+
+def elo_audit(snapshots: DataFrame, participants: DataFrame, initial: float = 1500.0) -> DataFrame:
+    """(check_name, rows, failures): entities with a single bout on their first day start at ``initial``; over all entities
+    whose bouts have days of their own, the rating doesn't fall after a win nor rise after a loss. A missing rating fails."""
+    from pyspark.sql import Window
+
+    sides = participants.select("fight_id", "fighter_id", "day", "won", "result_type")
+    s = sides.join(snapshots.select("fight_id", "fighter_id", F.col("pre_fight_elo").alias("elo")), ["fight_id", "fighter_id"], "left")
+    days = s.groupBy("fighter_id", "day").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("fight_id", "elo", "won", "result_type")).alias("bout"))
+    mine, before = Window.partitionBy("fighter_id"), Window.partitionBy("fighter_id").orderBy("day")
+    d = days.select("fighter_id", "day", "n", "bout.*").withColumns({"first": F.min("day").over(mine) == F.col("day"), "most": F.max("n").over(mine), **{f"_{c}": F.lag(c).over(before) for c in ("elo", "won", "result_type")}})
+    start, pair = F.col("first") & (F.col("n") == 1), (F.col("most") == 1) & ~F.col("first") & (F.col("_result_type") == "win")
+    wrong = F.coalesce(F.when(F.col("_won"), F.col("elo") < F.col("_elo")).otherwise(F.col("elo") > F.col("_elo")), F.lit(True))
+    one = d.agg(F.count_if(start).alias("n1"), F.count_if(start & ~F.col("elo").eqNullSafe(F.lit(initial))).alias("f1"), F.count_if(pair).alias("n2"), F.count_if(pair & wrong).alias("f2"))
+    return one.select(F.inline(F.array(F.struct(F.lit("debut_elo").alias("check_name"), F.col("n1").alias("rows"), F.col("f1").alias("failures")), F.struct(F.lit("elo_direction").alias("check_name"), F.col("n2").alias("rows"), F.col("f2").alias("failures")))))

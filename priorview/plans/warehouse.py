@@ -11,7 +11,7 @@ from priorview.functions import scalars as S
 from priorview.functions.keys import current_rows, norm_id
 from priorview.operators import merge as M
 from priorview.operators import quality as Q
-from priorview.plans.features import _BASE, _sides, _snapshots
+from priorview.plans.features import _BASE, _ELO, _sides, _snapshots
 from priorview.plans.general import FINISH_METHODS, _current, _id
 from priorview.operators import features as X
 from priorview.session import table
@@ -173,6 +173,10 @@ def q_leakage(spark: SparkSession, d: str) -> DataFrame:
     return Q.leakage_audit(s, _sides(spark, d), X.bout_table(s))
 
 
+def q_leakage_elo(spark: SparkSession, d: str) -> DataFrame:
+    return Q.elo_audit(_snapshots(spark, d), _sides(spark, d))
+
+
 QUERIES = {k: f for k, f in list(globals().items()) if k.startswith("q_")}
 
 _LINK_SQL = " UNION ALL ".join(f"SELECT '{t}.{c}' AS check_name, count(*) AS misses FROM {t} WHERE {_id(c)} IS NOT NULL AND {_id(c)} NOT IN (SELECT {_id(k)} FROM {p} WHERE {_id(k)} IS NOT NULL)" for t, c, p, k in LINKS)
@@ -214,4 +218,8 @@ CASE WHEN weight_class IN ('light_heavyweight', 'heavyweight', 'super_heavyweigh
     "q_event_dates": "SELECT event_id, load_id, CASE WHEN regexp_full_match(trim(date_formatted), '[A-Z][a-z]+ [0-9]{1,2}, [0-9]{4}') THEN try_strptime(trim(date_formatted), '%B %d, %Y')::DATE END AS long_date, CASE WHEN regexp_full_match(trim(date_formatted), '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN try_cast(trim(date_formatted) AS DATE) END AS iso_date FROM fight_events",
     "q_card_coverage": f"SELECT c.k AS event_id, coalesce(c.event_status, 'completed') AS event_status, count(f.k) AS bouts, count(f.k) FILTER (WHERE f.k IN (SELECT {_id('fight_id')} FROM fight_stats_aggregate WHERE {_id('fight_id')} IS NOT NULL)) AS with_stats FROM {_current('fight_events', 'event_id')} c LEFT JOIN {_current('fights', 'fight_id')} f ON {_id('f.event_id')} = c.k GROUP BY 1, 2",
     "q_leakage": f"WITH {_BASE} SELECT 'prior_count' AS check_name, count(*) AS rows, 0 AS failures FROM p UNION ALL SELECT 'monotone', count(DISTINCT (me, d)), 0 FROM p UNION ALL SELECT 'debut', count(*), 0 FROM p WHERE NOT EXISTS (SELECT 1 FROM p h WHERE h.me = p.me AND h.d < p.d) UNION ALL SELECT 'label', count(*), 0 FROM b",
+    "q_leakage_elo": f"""WITH RECURSIVE {_BASE}, {_ELO}, r AS (SELECT p.me, p.d, p.res, p.won, e.pre_elo, count(*) OVER (PARTITION BY p.me, p.d) AS n, min(p.d) OVER (PARTITION BY p.me) AS first FROM p JOIN elo e ON e.fight_id = p.fight_id AND e.fighter_id = p.me),
+x AS (SELECT *, max(n) OVER (PARTITION BY me) AS most, lag(res) OVER w AS res0, lag(won) OVER w AS won0, lag(pre_elo) OVER w AS elo0 FROM r WINDOW w AS (PARTITION BY me ORDER BY d))
+SELECT 'debut_elo' AS check_name, count(*) AS rows, count(*) FILTER (WHERE pre_elo <> 1500) AS failures FROM r WHERE d = first AND n = 1
+UNION ALL SELECT 'elo_direction', count(*), count(*) FILTER (WHERE CASE WHEN won0 THEN pre_elo < elo0 ELSE pre_elo > elo0 END) FROM x WHERE most = 1 AND res0 = 'win'""",
 }
