@@ -100,3 +100,9 @@ def test_comparisons(spark, rows):
     df = spark.createDataFrame([("a", "a", "b"), ("b", "a", "b"), ("a", "b", "a"), ("x", "a", "b"), (None, "a", "b"), ("a", "a", None), ("a", "a", "a")], "w string, f string, s string")
     assert rows(comparisons(df, "w", "f", "s")) == [("a", "b", 2.0), ("b", "a", 1.0)]
     assert rank_items(comparisons(df.limit(0), "w", "f", "s"), spark.createDataFrame([], "id string")).count() == 0
+
+
+def test_scaling_says_when_it_has_not_settled(spark):
+    pairs = spark.createDataFrame([("a", "b", 9.0), ("b", "c", 9.0), ("c", "d", 9.0)], "winner string, loser string, n double")
+    with pytest.warns(RuntimeWarning, match="not settled"):
+        rank_items(pairs, spark.createDataFrame([], "id string"), Scaling(rounds=2, tolerance=1e-9))
