@@ -58,10 +58,19 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each side of a bout with the last known value of each attribute, whichever snapshot brought it."""
+    """Each side of a bout with the last known value of each of six attributes, whichever snapshot brought it."""
     return _known(spark, sf_dir, ["career_fights", "career_win_rate", "age", "height_cm", "reach_cm", "elo_rating"], "skip")
 
 
+#: All attributes of a snapshot.
+ATTRIBUTES = ("career_fights", "career_wins", "career_losses", "career_win_rate", "career_minutes", "career_sig_strikes_landed_pm", "career_takedown_accuracy", "age", "height_cm", "reach_cm", "days_since_last_fight", "is_debut", "age_missing", "height_reach_missing", "elo_rating")
+
+
+def p1_all_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each side of a bout with the last known value of every attribute, whichever snapshot brought it."""
+    return _known(spark, sf_dir, list(ATTRIBUTES), "skip")
+
+
 def _filled_fighters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = current_rows(table(spark, sf_dir, "fighters"), "fighter_id", ["fighter_id", "height_cm", "reach_cm", "weight_lbs", "dob", "stance"])
     return fill_missing(rows, "fighter_id", MEASURES)
@@ -120,7 +129,7 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphan_report(p4_found(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_attributes, p2_found, p2_filled, p3_found, p3_loads, p3_profile, p4_found, p4_report)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_attributes, p1_all_attributes, p2_found, p2_filled, p3_found, p3_loads, p3_profile, p4_found, p4_report)}
 
 _ID = "nullif(lower(trim({0}, ' ' || chr(9) || chr(13) || chr(10) || chr(160))), '')"
 
@@ -174,6 +183,8 @@ SQL = {
     "p1_found": f"""{_P1} SELECT e.fight_id, e.fighter_id, (max(struct_pack(a := as_of_date, k := computed_at, s := snapshot_id))).s AS snapshot_id
 FROM sides e JOIN v ON v.f = e.fighter_id AND v.as_of_date <= e.event_date AND v.known < e.event_date GROUP BY ALL""",
     "p1_attributes": f"""{_P1} SELECT e.fight_id, e.fighter_id, e.event_date, {', '.join(_last(c, '') for c in ('career_fights', 'career_win_rate', 'age', 'height_cm', 'reach_cm', 'elo_rating'))}
+FROM sides e LEFT JOIN v ON v.f = e.fighter_id AND v.as_of_date <= e.event_date AND v.known < e.event_date GROUP BY e.fight_id, e.fighter_id, e.event_date""",
+    "p1_all_attributes": f"""{_P1} SELECT e.fight_id, e.fighter_id, e.event_date, {', '.join(_last(c, '') for c in ATTRIBUTES)}
 FROM sides e LEFT JOIN v ON v.f = e.fighter_id AND v.as_of_date <= e.event_date AND v.known < e.event_date GROUP BY e.fight_id, e.fighter_id, e.event_date""",
     "p2_found": f"""SELECT k AS fighter_id, column_name FROM (SELECT k, unnest(list_filter([
  CASE WHEN coalesce(height_cm BETWEEN 120 AND 230, false) THEN NULL ELSE 'height_cm' END, CASE WHEN coalesce(reach_cm BETWEEN 120 AND 230, false) THEN NULL ELSE 'reach_cm' END,
