@@ -94,6 +94,8 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Tables that number their loads, whose columns are profiled.
 PROFILED = ("fights", "fight_events", "bout_features", "fight_stats_aggregate", "fighters")
+#: Tables without load numbers, profiled as one load, number 1.
+PROFILED_WHOLE = ("fighter_snapshots",)
 
 
 def _value_counts(spark: SparkSession, sf_dir: str) -> tuple[ValueCounts, dict]:
@@ -103,6 +105,10 @@ def _value_counts(spark: SparkSession, sf_dir: str) -> tuple[ValueCounts, dict]:
         columns = [c for c in rows.columns if c != "load_id"]
         numeric |= {(t, c): k for c, k in rows.dtypes if k.startswith(("decimal", "smallint", "int", "bigint", "double"))}
         store.apply(deltas(rows, t, columns, "load_id"), t)
+    for t in PROFILED_WHOLE:
+        rows = table(spark, sf_dir, t)
+        numeric |= {(t, c): k for c, k in rows.dtypes if k.startswith(("decimal", "smallint", "int", "bigint", "double"))}
+        store.apply(deltas(rows, t, rows.columns, None, 1, 1), t)
     return store, numeric
 
 
