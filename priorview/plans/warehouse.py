@@ -140,7 +140,7 @@ def q_scalars(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_texts(spark: SparkSession, d: str) -> DataFrame:
-    """What page readers take from texts: links, 'landed of attempted', a clock, a date, a number."""
+    """What page readers take from texts: 'landed of attempted', a number, the count of links, the hash, the length once clean."""
     t = F.coalesce("text", F.lit(""))
     landed, attempted = S.landed_attempted(t)
     return table(spark, d, "documents").select("doc_id", landed.alias("landed"), attempted.alias("attempted"), S.first_number(t).alias("number"), F.size(S.hrefs(t)).alias("links"), F.sha2(t, 256).alias("hash"), F.length(S.clean(t)).alias("clean_chars"))
