@@ -1,13 +1,18 @@
 import itertools
 import math
+import os
 import random
+from collections import Counter
 from datetime import date
 
 import numpy as np
 import pytest
 
+from priorview.functions.keys import current_rows
 from priorview.llm.names import Linking, Physique, cluster_pairs, link_profiles, link_spellings, monge_elkan, name_tokens, same_name, star_clusters, token_similarity, with_weights, banded, candidates
-from priorview.llm.ranking import Scaling, comparisons, rank_items
+from priorview.llm.queries import p6_ranking
+from priorview.llm.ranking import Scaling, comparisons, met, rank_items
+from priorview.session import table
 
 VARIANTS = [
     ["Katherine Bardawyn", "Kate Bardawyn", "K Bardawyn", "Bardawyn K.", "Katherine L. Bardawyn", "Katheriine Bardawyn", "KATHERINE BARDAWYN", "Judge Bardawyn", 'Katherine "Rook" Bardawyn', "KatherineBardawyn", "Bardawyn, Katherine"],
@@ -73,19 +78,82 @@ def test_star_clusters_by_brute_force(spark):
     assert all(got[i] == i if not near[i] or i in centres else got[i] in near[i] for i in ids)
 
 
-def test_scaling_finds_the_model_it_came_from(spark):
-    """Wins in the model's proportions, met unevenly, one item in half of all pairs."""
-    p = {f"i{k}": math.exp(k / 3) for k in range(12)}
-    r = random.Random(3)
-    pairs = []
+@pytest.fixture(scope="module")
+def uneven():
+    """Wins in the model's proportions, met unevenly, one item in half of all pairs; a second group and a lone pair."""
+    p = {f"i{k}": math.exp(k / 3) for k in range(12)} | {f"z{k}": math.exp(k / 4) for k in range(4)}
+    r, pairs = random.Random(3), []
     for a, b in itertools.combinations(p, 2):
-        if a == "i0" or r.random() < 0.4 or int(b[1:]) - int(a[1:]) == 1:
+        if a[0] == b[0] and (a == "i0" or r.random() < 0.4 or int(b[1:]) - int(a[1:]) == 1):
             n = r.choice([3.0, 30.0])
             pairs += [(a, b, n * p[a] / (p[a] + p[b])), (b, a, n * p[b] / (p[a] + p[b]))]
-    got = {x.item: x for x in rank_items(spark.createDataFrame(pairs + [(None, "i1", 1.0), ("i1", "i1", 5.0), ("i1", "i2", 0.0)], "winner string, loser string, n double"), spark.createDataFrame([("i3",), ("lone",), (None,), ("lone",)], "id string"), Scaling(tie=0.0, rounds=40, tolerance=1e-6)).collect()}
-    assert len(got) == 13 and got["lone"].strength == 1.0
-    x = {k: math.log(got[k].strength / got["i0"].strength) for k in p}
-    assert all(abs(x[k] - math.log(p[k] / p["i0"])) < 1e-3 for k in p)
+    return p, pairs
+
+
+@pytest.mark.parametrize("block", [10**6, 5, 0])
+def test_scaling_finds_the_model_it_came_from(spark, uneven, block):
+    """In one task, by groups, and in rounds over the cluster."""
+    p, pairs = uneven
+    extra = [(None, "i1", 1.0), ("i1", "i1", 5.0), ("i1", "i2", 0.0)]
+    found = rank_items(spark.createDataFrame(pairs + extra, "winner string, loser string, n double"), spark.createDataFrame([("i3",), ("lone",), (None,), ("lone",)], "id string"), Scaling(tie=0.0, block=block)).collect()
+    got = {x.item: x for x in found}
+    assert len(found) == len(got) == 17 and (got["lone"].strength, got["lone"].wins, got["lone"].losses) == (1.0, 0.0, 0.0)
+    for group in "iz":
+        own = [k for k in p if k[0] == group]
+        mean = sum(math.log(p[k]) for k in own) / len(own)
+        assert all(abs(math.log(got[k].strength) - math.log(p[k]) + mean) < 1e-4 for k in own)
+    assert all(abs(got[k].wins - sum(n for a, b, n in pairs if a == k)) < 1e-5 for k in p)
+
+
+def test_all_ways_agree_on_sparse_comparisons(spark):
+    r = random.Random(8)
+    pairs = [(f"n{a}", f"n{b}", float(r.randint(1, 2))) for a, b in (r.sample(range(30), 2) for _ in range(45))]
+    df, none = spark.createDataFrame(pairs, "winner string, loser string, n double"), spark.createDataFrame([], "id string")
+    one, spread = ({x.item: math.log(x.strength) for x in rank_items(df, none, Scaling(block=block)).collect()} for block in (10**6, 0))
+    assert one.keys() == spread.keys() and max(abs(one[k] - spread[k]) for k in one) < 1e-3
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables here")
+def test_ranking_of_the_bouts_is_the_fixed_point_of_plain_rounds(spark):
+    """Plain row and column scaling in numpy until nothing moves, over all bouts, against the query."""
+    folder = "/root/testdata/sf0.01"
+    bouts = current_rows(table(spark, folder, "fights"), "fight_id", ["fight_id", "fighter_1_id", "fighter_2_id", "winner_fighter_id", "result_type"]).collect()
+    norm = lambda x: (x or "").strip().lower()
+    wins = Counter()
+    for x in bouts:
+        a, b, w = norm(x.fighter_1_id), norm(x.fighter_2_id), norm(x.winner_fighter_id)
+        if x.result_type == "win" and a and b and a != b and w in (a, b):
+            wins[w, b if w == a else a] += 1
+    names = sorted({n for pair in wins for n in pair})
+    at = {n: i for i, n in enumerate(names)}
+    m = {(at[a], at[b]): float(wins[a, b]) for a, b in wins}
+    full = {k: m.get(k, 0.0) + 0.03 for a, b in m for k in ((a, b), (b, a))} | {(i, i): 0.5 for i in range(len(names))}
+    row, col, n = np.array([a for a, _ in full]), np.array([b for _, b in full]), np.array(list(full.values()))
+    d = np.ones(len(names))
+    for _ in range(20_000):
+        o = np.bincount(row, n / d[col])
+        new = np.bincount(col, n / o[row])
+        moved, d = np.abs(np.log(new / d)).max(), new
+        if moved < 1e-13:
+            break
+    assert moved < 1e-12
+    x = np.log(o / d)
+    near = {i: set() for i in range(len(names))}
+    for a, b in full:
+        near[a].add(b)
+    left = set(near)
+    while left:
+        group, todo = set(), [next(iter(left))]
+        while todo:
+            i = todo.pop()
+            if i not in group:
+                group.add(i)
+                todo += near[i]
+        left -= group
+        own = list(group)
+        x[own] -= x[own].mean()
+    got = {r.fighter_id: math.log(r.strength) for r in p6_ranking(spark, folder).collect()}
+    assert max(abs(got[k] - x[at[k]]) for k in names) < 1e-6 and all(got[k] == 0 for k in got if k not in at)
 
 
 def test_an_unbeaten_item_and_a_long_chain(spark):
@@ -98,11 +166,13 @@ def test_an_unbeaten_item_and_a_long_chain(spark):
 
 def test_comparisons(spark, rows):
     df = spark.createDataFrame([("a", "a", "b"), ("b", "a", "b"), ("a", "b", "a"), ("x", "a", "b"), (None, "a", "b"), ("a", "a", None), ("a", "a", "a")], "w string, f string, s string")
-    assert rows(comparisons(df, "w", "f", "s")) == [("a", "b", 2.0), ("b", "a", 1.0)]
+    assert rows(comparisons(df, "w", "f", "s")) == [("a", "b", 1.0), ("a", "b", 1.0), ("b", "a", 1.0)]
+    assert rows(met(comparisons(df, "w", "f", "s"))) == [("a", "b", 2.0, 1.0)]
     assert rank_items(comparisons(df.limit(0), "w", "f", "s"), spark.createDataFrame([], "id string")).count() == 0
 
 
-def test_scaling_says_when_it_has_not_settled(spark):
+@pytest.mark.parametrize("block, words", [(10, "row and column sums are off"), (0, "still move")])
+def test_scaling_never_ends_unsettled(spark, block, words):
     pairs = spark.createDataFrame([("a", "b", 9.0), ("b", "c", 9.0), ("c", "d", 9.0)], "winner string, loser string, n double")
-    with pytest.warns(RuntimeWarning, match="not settled"):
-        rank_items(pairs, spark.createDataFrame([], "id string"), Scaling(rounds=2, tolerance=1e-9))
+    with pytest.raises(Exception, match=words):
+        rank_items(pairs, spark.createDataFrame([], "id string"), Scaling(guard=1, block=block)).collect()
