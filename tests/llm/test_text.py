@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from priorview.llm.leakage import Limits, Matcher, leak_spans, leaked_items, squash, squash_with_offsets
+from priorview.llm.leakage import Limits, Matcher, leak_spans, leaked_items, readings, squash, squash_with_offsets
 from priorview.llm.splitting import Sizes, split_corpus, split_text, unit_gaps
 from priorview.llm.tokenizer import TokenAutomaton, Vocabulary, decode_corpus, encode_corpus
 
@@ -104,10 +104,59 @@ def test_leaks_whatever_the_writing(spark):
 
 
 def test_offsets_follow_the_squashed_text():
-    for t in ("Añb <b>c</b> &amp;&lt;d e&#769;f ﬁn Straße", "<", "&", "a<b", "é́x", "x &nbsp; y"):
-        flat, at = squash_with_offsets(t)
-        assert len(flat) == len(at) and flat == squash(t)
-    assert Matcher([]).leaks("anything") == []
+    for t in ("Añb <b>c</b> &amp;&lt;d e&#769;f ﬁn Straße", "<", "&", "a<b", "é́x", "x &nbsp; y", "&lt;p class=&quot;x&quot;&gt;a <i>b</i>", "&amp;lt;b&gt; <a href='1'>x</a> ΣΑΣ"):
+        ways = readings(t)
+        assert 1 <= len(ways) <= 3
+        for plain, steps in ways:
+            flat, at = squash_with_offsets(t, steps)
+            assert len(flat) == len(at) and flat == squash(plain) and at == sorted(at)
+    assert Matcher([]).leaks("anything") == set() == Matcher([]).leaks(None)
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        "see &lt;{}&gt; end", "x <{}> y", "x <a {}> y", '<img alt="{}">', "<!-- {} -->", "&amp;lt;{}", "<![CDATA[{}]]>", "<!{}>",
+        lambda p: "".join(f'<span style="{"color: red; " * 40}" data-n=1>{w} </span>' for w in p.split()), lambda p: "".join(f"&lt;b&gt;{w} &lt;/b&gt;" for w in p.split()),
+        lambda p: "".join(f"<b hidden>{w}</b> " for w in p.split()[:12]) + "<" + " ".join(p.split()[12:]) + ">", lambda p: p.replace(" ", " <!-- --> "),
+    ],
+)
+def test_no_markup_hides_a_passage(wrap):
+    m = Matcher([(1, passage(1, 60), "Which word comes first?", "no"), (2, passage(2, 60), None, None)])
+    part = " ".join(passage(1, 60).split()[5:29])
+    text = "é " + (wrap(part) if callable(wrap) else wrap.format(part)) + " the end of it. " + passage(9, 40)
+    assert m.leaks(text) == {1}
+    for item, kind, start, stop, words, covered in m.spans(text):
+        assert item == 1 and kind == "passage" and 0 <= start < stop <= len(text) and words >= 15 and covered <= words
+
+
+def test_spans_stand_where_they_say(automaton):
+    """Over all given documents: offsets are there, and the text between them squashes to what was matched."""
+    duckdb = pytest.importorskip("duckdb")
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("no tables here")
+    read = lambda q: duckdb.sql(q.format(folder)).fetchall()
+    m = Matcher(read("select item_id, passage, question, answer from '{}/eval_items.parquet'"))
+    texts = [t for (t,) in read("select text from '{}/documents.parquet' where text <> ''")]
+    n = 0
+    for t in texts:
+        found = m.spans(t)
+        assert {f[0] for f in found} == m.leaks(t)
+        for _, _, start, stop, words, _ in found:
+            n += 1
+            assert 0 <= start < stop <= len(t)
+            if words:
+                assert any(squash(plain) in flat for flat in [squash(x) for x, _ in readings(t)] for plain in [x for x, _ in readings(t[start:stop])])
+    assert n > 50
+
+
+def test_many_chains_and_unspaced_scripts():
+    """A repeated passage keeps all its places; scripts without blanks count characters as words."""
+    m = Matcher([(1, "alpha beta gamma delta " * 10, None, None), (2, "".join(chr(0x4E00 + 37 * i % 2000) for i in range(60)), None, None)])
+    assert m.leaks("delta alpha beta gamma " * 400) == {1}
+    han = "".join(chr(0x4E00 + 37 * i % 2000) for i in range(60))
+    assert m.leaks("前" + han[5:40] + "后") == {2} and m.leaks(han[:9]) == set()
 
 
 def sized(automaton, text, pieces, sizes):
