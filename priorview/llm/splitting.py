@@ -10,9 +10,9 @@ before that cut.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 from math import sqrt
 
 import pyarrow as pa
@@ -23,10 +23,7 @@ from pyspark.sql import functions as F
 from priorview.llm.tokenizer import TokenAutomaton, Vocabulary
 
 #: A unit ends after a paragraph or line break, or after the blanks that follow a sentence's end.
-UNIT_END = regex.compile(r"(?:\r\n|\n|\r| | )+|(?<=[.!?…。！？؟][\"'”’»)\]]*)\s+|(?<=[。！？])(?=\S)")
-TERM = regex.compile(r"[\p{L}\p{N}]+")
-
-
+UNIT_END = regex.compile(r"(?:\r\n|\n|\r| | )+|[.!?…。！？؟]++[\"'”’»)\]]*+\s++|[。！？]++[\"'”’»)\]]*+(?=\S)")
 @dataclass(frozen=True)
 class Sizes:
     """limit: most tokens of a piece. overlap: tokens that a piece repeats of the one before. least: share of
@@ -43,35 +40,107 @@ def unit_gaps(text: str) -> list[int]:
     return sorted({m.end() for m in UNIT_END.finditer(text)} - {0, len(text)})
 
 
-def valley_depths(text: str, gaps: list[int], block: int) -> list[float]:
-    """For each gap how far its similarity lies below the nearest peaks on both sides; ends count as gaps of similarity 0."""
-    terms = [(m.start(), m.group().casefold()) for m in TERM.finditer(text)]
-    starts = [s for s, _ in terms]
-    sims, left, right, a0, a1, b1 = [], Counter(), Counter(), 0, 0, 0
+class _Terms(dict):
+    """Words without the blanks and case around them; '' for those that begin with no letter or digit. Kept per worker and
+    emptied when full, which changes no result."""
+
+    def __missing__(self, word: str) -> str:
+        t = word.strip().casefold()
+        if not t[:1].isalnum():
+            t = ""
+        if len(word) <= 64:
+            if len(self) >= 300_000:
+                self.clear()
+            self[word] = t
+        return t
+
+
+_terms = _Terms()
+
+
+def valley_depths(words: list[str], ends: list[int], gaps: list[int], block: int) -> list[float]:
+    """For each gap how far its similarity lies below the nearest peaks on both sides; ends count as gaps of similarity 0.
+
+    words: the pre-split words of the text, with the offsets at which they end. The blocks on both sides slide from
+    gap to gap: a word that enters or leaves one changes the product and the norms by its own counts.
+    """
+    each = [*map(_terms.__getitem__, words)]
+    before = [0, *accumulate(map(bool, each))]
+    number: dict[str, int] = {}
+    terms = [number.setdefault(t, len(number)) for t in each if t]
+    left, right = [0] * len(number), [0] * len(number)
+    dot = lsq = rsq = lo = mid = hi = 0
+    sims = []
     for g in gaps:
-        mid = bisect_left(starts, g)
-        lo, hi = max(0, mid - block), min(len(terms), mid + block)
-        while a1 < mid:
-            left[terms[a1][1]] += 1
-            a1 += 1
-        while a0 < lo:
-            left[terms[a0][1]] -= 1
-            a0 += 1
-        b1 = max(b1, mid)
-        right = Counter(t for _, t in terms[mid:hi])
-        dot = sum(n * left[t] for t, n in right.items())
-        norm = sqrt(sum(n * n for n in right.values()) * sum(n * n for n in left.values()))
-        sims.append(dot / norm if norm else 0.0)
-    depths = []
+        at = before[bisect_right(ends, g)]  # a gap may lie behind the blank that begins a word
+        for t in terms[hi : at + block]:
+            n = right[t]
+            dot += left[t]
+            rsq += 2 * n + 1
+            right[t] = n + 1
+        for t in terms[mid:at]:
+            n, m = left[t], right[t]
+            dot += m - 1 - n
+            rsq -= 2 * m - 1
+            lsq += 2 * n + 1
+            left[t], right[t] = n + 1, m - 1
+        for t in terms[lo : max(lo, at - block)]:
+            n = left[t]
+            dot -= right[t]
+            lsq -= 2 * n - 1
+            left[t] = n - 1
+        hi, mid, lo = max(hi, at + block), at, max(lo, at - block)
+        sims.append(dot / sqrt(lsq * rsq) if lsq and rsq else 0.0)
     n = len(sims)
     lpeak, rpeak = [0.0] * n, [0.0] * n
     for i in range(n):  # climbing away from a gap as long as similarity rises
         lpeak[i] = lpeak[i - 1] if i and sims[i - 1] >= sims[i] else sims[i]
     for i in reversed(range(n)):
         rpeak[i] = rpeak[i + 1] if i + 1 < n and sims[i + 1] >= sims[i] else sims[i]
-    for i in range(n):
-        depths.append(lpeak[i] + rpeak[i] - 2 * sims[i])
-    return depths
+    return [lpeak[i] + rpeak[i] - 2 * sims[i] for i in range(n)]
+
+
+class Measure:
+    """Token counts of parts of one text. Its words are counted once; a part is encoded anew only where its ends cut words."""
+
+    def __init__(self, text: str, tokens: TokenAutomaton, words: list[str], counts: list[int]):
+        self.text, self.tokens, self.words = text, tokens, words
+        self.bounds = [0, *accumulate(map(len, words))]
+        self.total = [0, *accumulate(counts)]
+
+    def about(self, place: int) -> float:
+        """Tokens before a place; inside a word in proportion."""
+        k = bisect_right(self.bounds, place) - 1
+        if self.bounds[k] == place:
+            return self.total[k]
+        return self.total[k] + (self.total[k + 1] - self.total[k]) * (place - self.bounds[k]) / (self.bounds[k + 1] - self.bounds[k])
+
+    def place(self, tokens: float) -> int:
+        """The last place with at most so many tokens before it."""
+        k = bisect_right(self.total, tokens) - 1
+        if k >= len(self.words):
+            return self.bounds[-1]
+        return self.bounds[k] + int((self.bounds[k + 1] - self.bounds[k]) * (tokens - self.total[k]) / (self.total[k + 1] - self.total[k]))
+
+    def size(self, a: int, b: int) -> int:
+        """Tokens of text[a:b] encoded by itself. Words are split from left to right by what follows, so from the first place
+        where a word of the whole text begins the same words come, up to white space that the end cuts."""
+        text, bounds = self.text, self.bounds
+        last = b
+        while last > a and text[last - 1].isspace():
+            last -= 1
+        safe = bisect_right(bounds, last) - 1
+        n, at = 0, a
+        while at < b:
+            k = bisect_left(bounds, at)
+            if bounds[k] == at and k < safe:
+                n += self.total[safe] - self.total[k]
+                at = bounds[safe]
+                continue
+            word = self.tokens.word_at(text, at, b)
+            n += len(self.tokens.word_ids(word))
+            at += len(word)
+        return n
 
 
 def _word_cuts(text: str, a: int, b: int) -> list[int]:
@@ -86,33 +155,21 @@ def split_text(text: str, tokens: TokenAutomaton, sizes: Sizes = Sizes()) -> lis
     (a valley), unit (a gap without depth), word, character or end.
     """
     words = tokens.words(text)
-    sized = [len(tokens.word_ids(w)) for w in words]
-    if sum(sized) <= sizes.limit:
-        return [(0, len(text), sum(sized), 0, "end")]
-    # Positions between pre-split words: what lies between two of them has about as many tokens as its words.
-    place, total = [0], [0]
-    for w, n in zip(words, sized):
-        if n > 1 and len(w) > 1:  # long words may be cut inside, but only where nothing else can be done
-            each = n / len(w)
-            for i in range(1, len(w) + 1):
-                place.append(place[-1] + 1)
-                total.append(total[-1] + each)
-            total[-1] = total[-len(w) - 1] + n
-        else:
-            place.append(place[-1] + len(w))
-            total.append(total[-1] + n)
-    at = lambda char: total[bisect_left(place, char)]
-    size = lambda a, b: len(tokens.encode(text[a:b]))
+    counts = tokens.counts(words)
+    if (n := sum(counts)) <= sizes.limit:
+        return [(0, len(text), n, 0, "end")]
+    whole = Measure(text, tokens, words, counts)
+    at, size = whole.about, whole.size
     gaps = unit_gaps(text)
-    depth = dict(zip(gaps, valley_depths(text, gaps, sizes.block)))
+    depth = dict(zip(gaps, valley_depths(whole.words, whole.bounds[1:], gaps, sizes.block)))
     out, begin, fresh = [], 0, 0
     while True:
         if at(len(text)) - at(begin) <= sizes.limit * 1.02 and (n := size(begin, len(text))) <= sizes.limit:
             out.append((begin, len(text), n, size(begin, fresh) if fresh > begin else 0, "end"))
             return out
         room = at(begin) + sizes.limit
-        far = place[min(bisect_right(total, room), len(place) - 1)]
-        near = place[bisect_left(total, at(begin) + sizes.limit * sizes.least)]
+        far = min(whole.place(room) + 1, len(text))
+        near = whole.place(at(begin) + sizes.limit * sizes.least)
         options = [(-depth[g], -g, g, "topic" if depth[g] > 0 else "unit") for g in gaps[bisect_left(gaps, max(near, fresh + 1)) : bisect_right(gaps, far)]]
         options.sort()
         cut = None
@@ -137,7 +194,7 @@ def split_text(text: str, tokens: TokenAutomaton, sizes: Sizes = Sizes()) -> lis
         stop, kind = cut
         out.append((begin, stop, size(begin, stop), size(begin, fresh) if fresh > begin else 0, kind))
         # The next piece starts at the word nearest to ``overlap`` tokens before the cut, and after this piece's start.
-        back = place[max(0, bisect_right(total, at(stop) - sizes.overlap) - 1)]
+        back = whole.place(max(0, at(stop) - sizes.overlap))
         blanks = [p for p in _word_cuts(text, max(begin, back - 80), stop) if begin < p < stop]
         start = next((p for p in blanks if p >= back and size(p, stop) <= sizes.overlap), None)
         if start is None or size(start, stop) < sizes.overlap * 0.75:  # no word near: inside a long one
@@ -151,8 +208,7 @@ def split_corpus(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str, s
     """(key, piece, start, stop, n_tokens, overlap_tokens, cut, text) of each document.
 
     A document that fits comes out as its one piece; a null text as one piece of null text, an empty one as
-    one empty piece. A text of at most ``limit`` bytes fits without being encoded (n_tokens is counted
-    all the same). Extra columns are left to the caller to join by the key.
+    one empty piece. Extra columns are left to the caller to join by the key.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 #: Fixed value: the pattern that splits text before merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Words kept per worker with their ids; a full cache is emptied, which changes no result.
-CACHE = 400_000
+#: Words kept per worker with their ids, the longest of them in bytes, and arcs looked up; a full store is emptied, which changes no result.
+CACHE, LONGEST, ARCS = 300_000, 256, 3_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -37,6 +38,23 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+class _Words(dict):
+    """Ids by word, found when first asked for."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self._encode = encode
+
+    def __missing__(self, word: str) -> list[int]:
+        raw = word.encode()
+        ids = self._encode(raw)
+        if len(raw) <= LONGEST:
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class TokenAutomaton:
     """Compiled merges of a byte-level BPE vocabulary (the text of its ``tokenizers`` JSON file)."""
 
@@ -79,7 +97,7 @@ class TokenAutomaton:
                     self._ends.append(-1)
                 node = self._next[key]
             self._ends[node] = i
-        self._words: dict[str, list[int]] = {}
+        self._words = _Words(self.encode_word)
         self._split = regex.compile(PATTERN)
 
     def _gadget(self, k: int, u: int, v: int, w: int) -> None:
@@ -109,6 +127,8 @@ class TokenAutomaton:
                     s = self._copy_of[s]
                 else:
                     t = self._left[t]
+            if len(self._has) >= ARCS:
+                self._has.clear()
             self._has[key] = known
         return known
 
@@ -130,6 +150,8 @@ class TokenAutomaton:
                 t = ends[node]
                 if t >= 0 and where[j + 1] < 0 and (i == 0 or self.has_arc(state, t)):
                     via[j + 1], where[j + 1] = t, to[t]
+            if where[n] >= 0:  # the one path that gets there
+                break
         out, at = [], n
         while at:
             out.append(via[at])
@@ -137,25 +159,22 @@ class TokenAutomaton:
         return out[::-1]
 
     def word_ids(self, word: str) -> list[int]:
-        ids = self._words.get(word)
-        if ids is None:
-            if len(self._words) >= CACHE:
-                self._words.clear()
-                self._has.clear()
-            ids = self._words[word] = self.encode_word(word.encode())
-        return ids
+        return self._words[word]
 
     def words(self, text: str) -> list[str]:
         return self._split.findall(text)
 
+    def counts(self, words: list[str]) -> list[int]:
+        """The number of ids of each word."""
+        return [*map(len, map(self._words.__getitem__, words))]
+
+    def word_at(self, text: str, at: int, end: int) -> str:
+        """The word that begins at ``at``, in the text up to ``end``."""
+        return self._split.match(text, at, end).group()
+
     def encode(self, text: str | None) -> list[int]:
         """Ids of ``text``; none for an empty or null one. Names of special tokens are ordinary text."""
-        out: list[int] = []
-        if text:
-            get, add = self._words.get, out.extend
-            for w in self._split.findall(text):
-                add(get(w) or self.word_ids(w))
-        return out
+        return list(chain.from_iterable(map(self._words.__getitem__, self._split.findall(text)))) if text else []
 
     def decode_bytes(self, ids: list[int]) -> bytes:
         return b"".join([self.labels[i] for i in ids])
@@ -189,7 +208,7 @@ class Vocabulary:
 def _lists(rows: list, kind: pa.DataType) -> pa.ListArray:
     offsets = np.zeros(len(rows) + 1, np.int32)
     np.cumsum([len(r) for r in rows], out=offsets[1:])
-    values = np.fromiter((x for r in rows for x in r), dtype=kind.to_pandas_dtype(), count=int(offsets[-1]))
+    values = np.fromiter(chain.from_iterable(rows), dtype=kind.to_pandas_dtype(), count=int(offsets[-1]))
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
