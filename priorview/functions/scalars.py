@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 #: Weight classes by the first text that a bout's type contains, in this order.
 WEIGHT_CLASSES = [
     ("Women's Strawweight", "women_strawweight"), ("Women's Flyweight", "women_flyweight"), ("Women's Bantamweight", "women_bantamweight"), ("Women's Featherweight", "women_featherweight"),
-    ("Light Heavyweight", "light_heavyweight"), ("Super Heavyweight", "super_heavyweight"), ("Heavyweight", "heavyweight"), ("Middleweight", "middleweight"), ("Welterweight", "welterweight"), ("Lightweight", "lightweight"),
-    ("Featherweight", "featherweight"), ("Bantamweight", "bantamweight"), ("Flyweight", "flyweight"), ("Strawweight", "strawweight"), ("Catch Weight", "catch_weight"), ("Open Weight", "open_weight"),
+    ("Light Heavyweight", "light_heavyweight"), ("Super Heavyweight", "super_heavyweight"), ("Heavyweight", "heavyweight"), ("Featherweight", "featherweight"), ("Lightweight", "lightweight"), ("Welterweight", "welterweight"),
+    ("Middleweight", "middleweight"), ("Bantamweight", "bantamweight"), ("Flyweight", "flyweight"), ("Strawweight", "strawweight"), ("Open Weight", "open_weight"), ("Catch Weight", "catch_weight"),
 ]
+#: Weight classes as pages name them; the last one that occurs counts.
+PAGE_CLASSES = ["women's strawweight", "women's flyweight", "women's bantamweight", "women's featherweight", "flyweight", "bantamweight", "featherweight", "lightweight", "welterweight", "middleweight", "light heavyweight", "heavyweight", "catch weight", "open weight"]
 #: Methods of finish by their trimmed, lower-case text.
-FINISHES = {"decision": "decision", "ko/tko": "ko_tko", "submission": "submission", "tko - doctor's stoppage": "doctor_stoppage", "dq": "dq", "could not continue": "could_not_continue", "overturned": "overturned", "other": "other"}
+FINISHES = {"decision": "decision", "ko/tko": "ko_tko", "submission": "submission", "tko - doctor's stoppage": "doctor_stoppage", "overturned": "overturned", "could not continue": "could_not_continue", "dq": "dq", "other": "other"}
 #: Fixed value: the name space of URLs for name-based UUIDs.
 URL_SPACE = "6ba7b8119dad11d180b400c04fd430c8"
 
@@ -161,10 +163,10 @@ def split_name(c: Column | str) -> tuple[Column, Column]:
 
 
 def split_finish(c: Column | str) -> tuple[Column, Column]:
-    """(primary, secondary) in lower case; only decisions are taken apart at ' - '."""
+    """(primary, secondary) in lower case; only what has 'decision' in it is taken apart at ' - ' (null where nothing follows)."""
     t = F.lower(F.trim(col(c)))
-    cut = t.startswith("decision - ")
-    return F.when(cut, "decision").otherwise(t), F.when(cut, F.substring(t, 12, 1 << 20))
+    p, cut = F.split(t, " - "), t.contains("decision")
+    return F.when(cut, F.get(p, 0)).otherwise(t), F.when(cut, F.get(p, 1))
 
 
 def clock(c: Column | str) -> tuple[Column, Column]:
@@ -175,13 +177,10 @@ def clock(c: Column | str) -> tuple[Column, Column]:
 
 
 def raw_weight_class(c: Column | str) -> Column:
-    """As pages are read, the last class of the list whose name occurs in the lower-cased text (so 'light heavyweight' reads heavyweight)."""
-    names = ["strawweight", "flyweight", "bantamweight", "featherweight", "lightweight", "welterweight", "middleweight", "light heavyweight", "heavyweight", "catch weight", "open weight"]
-    out = None
-    for n in reversed(names):
-        hit = F.lower(col(c)).contains(n)
-        out = F.when(hit, n) if out is None else out.when(hit, n)
-    return out
+    """As pages are read: the last name of the list that occurs in the lower-cased text (so 'light heavyweight' reads
+    heavyweight, a women's class but strawweight its plain name, and a plain strawweight nothing)."""
+    low = F.lower(col(c))
+    return F.coalesce(*[F.when(low.contains(n), n) for n in reversed(PAGE_CLASSES)])
 
 
 def entity_of_url(c: Column | str) -> Column:
@@ -199,7 +198,7 @@ def parted(c: Column | str) -> Column:
 
 def percent(a: Column, b: Column) -> Column:
     """'12.5%', or 'n/a' of nothing."""
-    return F.when(b == 0, "n/a").otherwise(F.concat(F.format_number(a * 100 / b, 1), F.lit("%")))
+    return F.when(b == 0, "n/a").otherwise(F.format_string("%.1f%%", a * 100.0 / b))
 
 
 def hrefs(c: Column | str, containing: str = "") -> Column:

@@ -167,8 +167,8 @@ def _stat_fields(v: dict[tuple, str], r: int) -> dict:
     out = {"knockdowns": v["KD", r], "submissions_attempted": v["Sub. att", r], "reversals": v["Rev.", r]}
     clock = v["Ctrl", r].split(":")
     out |= dict(zip(("control_time_minutes", "control_time_seconds"), clock if len(clock) == 2 and "".join(clock).isdigit() else ("0", "0")))
-    for name, head in {"total_strikes": "Total str.", "significant_strikes": "Sig. str.", "takedowns": "Td", **{f"significant_strikes_{h.lower()}": h for h in TARGETS[2:]}}.items():
-        out[f"{name}_landed"], out[f"{name}_attempted"] = pair(v[head, r])
+    for name, head in {"total_strikes_{}": "Total str.", "significant_strikes_{}": "Sig. str.", "takedowns_{}": "Td", **{f"significant_strikes_{{}}_{h.lower()}": h for h in TARGETS[2:]}}.items():
+        out[name.format("landed")], out[name.format("attempted")] = pair(v[head, r])
     return out
 
 
@@ -178,7 +178,7 @@ def _read_stats(by_round: bool) -> Callable[[str, Page], list[dict]]:
             return []  # bouts without stats have no table
         people, rounds, sides = _stats(url, page)
         fight = page_id(url)
-        return [{"fight_id": fight, "fighter_id": p, "fight_stat_id": page_id(fight + p), "url": url} | ({"round": str(r)} if by_round else {}) | _stat_fields(v, r) for p, v in zip(people, sides) for r in (range(1, rounds + 1) if by_round else (0,))]
+        return [{"fight_id": fight, "fighter_id": p, "url": url} | ({"round": str(r), "fight_stat_by_round_id": page_id(f"{fight}{p}{r}")} if by_round else {"fight_stat_id": page_id(fight + p)}) | _stat_fields(v, r) for p, v in zip(people, sides) for r in (range(1, rounds + 1) if by_round else (0,))]
 
     return read
 

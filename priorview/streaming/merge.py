@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from priorview.operators.merge import latest, upsert_table
+from priorview.operators.merge import latest, upsert_buckets
 
 
 def stream_upserts(rows: DataFrame, path: str, keys: list[str], order: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Merges a stream of rows into the parquet table at ``path``. The newest row of a key in a batch counts, and a batch
-    that is given twice after a failure changes nothing the second time."""
+    """Merges a stream of rows into the table of buckets at ``path`` (``read_buckets`` reads it): a batch rewrites only the
+    buckets its keys fall in. The newest row of a key in a batch counts, and a batch that is given twice after a failure
+    changes nothing the second time."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert_table(batch.sparkSession, path, latest(batch, keys, [order]), keys, order)
+        upsert_buckets(batch.sparkSession, path, latest(batch, keys, [order]), keys, order)
 
     writer = rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -86,7 +86,84 @@ def test_streams(spark, tmp_path):
         stream_upserts(read_stream(spark, src), table, ["id"], "at", str(tmp_path / "ck")).awaitTermination()
     spark.createDataFrame([("b", 5, t(3))], R).write.mode("append").parquet(src)
     stream_upserts(read_stream(spark, src), table, ["id"], "at", str(tmp_path / "ck")).awaitTermination()
-    assert {r.id: r.v for r in spark.read.parquet(table).collect()} == {"a": 2, "b": 5}
+    assert {r.id: r.v for r in M.read_buckets(spark, table).collect()} == {"a": 2, "b": 5}
     q = stream_counts(read_stream(spark, src), "at", ["id"]).writeStream.outputMode("complete").format("memory").queryName("counted").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sum(r["rows"] for r in spark.sql("select rows from counted").collect()) == 4
+
+
+@pytest.mark.parametrize("stop", [1, 2])
+def test_a_replacement_that_stops_between_the_renames_loses_nothing(spark, tmp_path, monkeypatch, stop):
+    """The writer dies at its first or second rename; the next one finds the old rows, wherever they lie."""
+    path = str(tmp_path / "t")
+    M.upsert_table(spark, path, spark.createDataFrame([("a", 1, t(1)), ("b", 2, t(1))], R), ["id"])
+    move, calls = M._move, []
+
+    def dying(fs, source, target):
+        calls.append(1)
+        if len(calls) == stop:
+            raise KeyboardInterrupt
+        move(fs, source, target)
+
+    monkeypatch.setattr(M, "_move", dying)
+    with pytest.raises(KeyboardInterrupt):
+        M.upsert_table(spark, path, spark.createDataFrame([("c", 3, t(1))], R), ["id"])
+    monkeypatch.setattr(M, "_move", move)
+    assert (tmp_path / "t").exists() == (stop == 1)
+    assert M.recover_table(spark, path) and {r.id for r in spark.read.parquet(path).collect()} == {"a", "b"}
+    M.upsert_table(spark, path, spark.createDataFrame([("d", 4, t(1))], R), ["id"])
+    assert {r.id for r in spark.read.parquet(path).collect()} == {"a", "b", "d"} and not (tmp_path / "t.before").exists()
+
+
+def test_a_failed_rename_is_no_success(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    M.upsert_table(spark, path, spark.createDataFrame([("a", 1, t(1))], R), ["id"])
+    real = M._move
+
+    def fails(fs, source, target):
+        if source.toString().endswith(".staging"):
+            raise OSError("no")
+        real(fs, source, target)
+
+    monkeypatch.setattr(M, "_move", fails)
+    with pytest.raises(OSError):
+        M.upsert_table(spark, path, spark.createDataFrame([("b", 1, t(1))], R), ["id"])
+    assert [r.id for r in spark.read.parquet(path).collect()] == ["a"]
+
+
+def test_buckets(spark, tmp_path):
+    path = str(tmp_path / "b")
+    rows = spark.range(200).select(F.concat(F.lit("k"), "id").alias("id"), F.lit(1).alias("v"), F.lit(t(2)).alias("at"))
+    assert M.upsert_buckets(spark, path, rows, ["id"], "at", 8) == 200
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "b").glob("bucket=*/*.parquet")}
+    one = spark.createDataFrame([("k7", 5, t(1))], R)
+    for _ in range(2):
+        assert M.upsert_buckets(spark, path, one, ["id"], "at", 8) == 1
+    after = {p for p in (tmp_path / "b").glob("bucket=*/*.parquet")}
+    assert len({p.parent for p in before} - {p.parent for p in before if p not in after}) == 7  # one bucket was written anew
+    got = {r.id: (r.v, r.at) for r in M.read_buckets(spark, path, 8).collect()}
+    assert len(got) == 200 and got["k7"] == (5, t(2)) and M.upsert_buckets(spark, path, one.limit(0), ["id"], "at", 8) == 0
+
+
+def test_keyed_sink_stamps_rows(spark, tmp_path):
+    path = str(tmp_path / "s")
+    df = spark.createDataFrame([("a", "f", 1)], "fighter_id string, fight_id string, v int")
+    for v in (1, 2):
+        assert M.keyed_sink(spark, path, df.withColumn("v", F.lit(v)), ["fighter_id", "fight_id"]) == 1
+    r = spark.read.parquet(path).collect()
+    assert len(r) == 1 and r[0].v == 2 and r[0].computed_at is not None
+
+
+def test_what_to_fetch_and_the_bout_queue(spark, rows):
+    wanted = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("e",)], "k string")
+    log = spark.createDataFrame([("a", "failed"), ("b", "updated"), ("d", "failed"), ("d", "fetched"), ("e", "unchanged")], "k string, fetch_status string")
+    assert rows(M.to_fetch(wanted, "k", log, spark.createDataFrame([("c",)], "k string"))) == [("a",)]
+    assert rows(M.to_fetch(wanted, "k", log, spark.createDataFrame([("c",)], "k string"), spark.createDataFrame([("b",), ("a",), (None,)], "e string"))) == [("a",), ("b",)]
+    S = "event_id string, event_status string"
+    status = M.status_index(spark.createDataFrame([("e1", "upcoming"), ("e2", "upcoming"), ("e3", "")], S), spark.createDataFrame([("e1", "completed")], S))
+    assert rows(status) == [("e1", "completed"), ("e2", "upcoming"), ("e3", "completed")]
+    B = "fight_id string, event_id string, fight_url string, finish_method string"
+    one, two = spark.createDataFrame([("f1", "e1", "u1", "decision"), ("f2", "e2", "u2", "dq"), ("f4", "e9", "u4", "")], B), spark.createDataFrame([("f1", "e1", "v1", ""), ("f3", "e3", "v3", "")], B)
+    old = spark.createDataFrame([("f4", "e8", "w4", "other", "done", t(1)), ("f5", "e5", "w5", "", "pending", t(1))], B + ", stats_status string, queued_at timestamp")
+    got = rows(M.bout_queue([one, two], status, old, "2020-02-01 00:00:00"))
+    assert got == [("f1", "e1", "u1", "decision", "pending", datetime(2020, 2, 1)), ("f3", "e3", "v3", None, "pending", datetime(2020, 2, 1)), ("f4", "e9", "u4", "other", "done", t(1)), ("f5", "e5", "w5", None, "pending", t(1))]

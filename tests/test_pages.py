@@ -39,7 +39,7 @@ def test_event_and_fighter():
 
 def test_stats_tables():
     a, b = READERS["fight_stats"](U, Page(stats_page(2)))
-    assert (a["significant_strikes_landed"], a["significant_strikes_attempted"], a["significant_strikes_head_landed"], a["takedowns_landed"], a["control_time_minutes"], a["control_time_seconds"]) == ("10", "50", "1", "0", "3", "21")
+    assert (a["significant_strikes_landed"], a["significant_strikes_attempted"], a["significant_strikes_landed_head"], a["takedowns_landed"], a["control_time_minutes"], a["control_time_seconds"]) == ("10", "50", "1", "0", "3", "21")
     assert b["significant_strikes_landed"] == "20" and b["control_time_seconds"] == "0" and b["knockdowns"] == "2"
     rounds = READERS["fight_stats_by_round"](U, Page(stats_page(2)))
     assert [(r["round"], r["significant_strikes_landed"]) for r in rounds] == [("1", "11"), ("2", "12"), ("1", "21"), ("2", "22")]
