@@ -3,16 +3,18 @@
 A version of an entity holds from ``valid_from`` and is usable from the day after it became known,
 so it can be seen from ``visible_from = max(valid_from, known day + 1)`` on. Seen versions are
 ranked by (valid_from, known_at, tiebreak). Per attribute a *change history* is kept: the steps at
-which the best seen version's value changes. An event takes the last step at or before its day, one
-attribute at a time, and the attributes are pivoted back to one row an event.
+which the best seen version's value changes; versions that bring nothing new to an attribute leave no step. An
+event takes the last step at or before its day, one attribute at a time, and the attributes are pivoted
+back to one row an event.
 
-Keys that hold a large share of all rows are cut into slices of time; each slice starts from the
-state its predecessors left (one row a slice), so no task has to hold a whole hot key.
+Everything is by day, so an entity that holds a large share of all rows needs no task of its own: its versions
+and its events are first combined to days (before the shuffle), the days are matched, and the events take
+their day's row by a join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,25 +22,8 @@ from priorview.functions.keys import hot_keys, utc_day
 from priorview.session import shuffle_width
 
 
-def _running_max(rows: DataFrame, day: str, order: list[str], payload: str, out: str, hot: list[str], slice_days: int) -> DataFrame:
-    """Adds ``out``: the largest ``payload`` among the rows of the same entity and attribute up to each row, by ``day`` then ``order``.
-
-    One exchange, on the entity (and slice of a hot one); what follows on finer keys needs no other.
-    """
-    keys, parts = ["entity", "attribute"], ["entity"]
-    rows = rows.withColumn("_carry", F.lit(False))
-    if hot:
-        keys, parts = [*keys, "_slice"], ["entity", "_slice"]
-        rows = rows.withColumn("_slice", F.when(F.col("entity").isin(hot), F.floor(F.unix_date(day) / slice_days).cast("int")).otherwise(F.lit(0)))
-        left = (
-            rows.filter(F.col("entity").isin(hot)).groupBy(*keys).agg(F.max(payload).alias(payload))
-            .withColumn(payload, F.max(payload).over(Window.partitionBy("entity", "attribute").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)))
-            .filter(F.col(payload).isNotNull())
-            .withColumn("_carry", F.lit(True))
-        )
-        rows = rows.unionByName(left, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(F.col("_carry").desc(), day, *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.repartition(*parts).withColumn(out, F.max(payload).over(w)).filter(~F.col("_carry")).drop("_carry")
+def _is_hot(hot: list[str]) -> Column:
+    return F.col("entity").isin(list(hot)) if hot else F.lit(False)
 
 
 def change_histories(
@@ -50,26 +35,33 @@ def change_histories(
     attributes: list[str],
     nulls: str = "keep",
     hot: list[str] = (),
-    slice_days: int = 91,
 ) -> DataFrame:
-    """(entity, attribute, visible_from, rank, value): one row for each change of one attribute.
+    """(entity, attribute, visible_from, value): one row for each change of one attribute.
 
     ``nulls='skip'`` takes a null as "not updated"; ``'keep'`` takes it as the value it then had.
     Versions without entity, valid_from or known_at can't be placed in time and are left out.
-    Versions that a better one precedes never hold and are left out as well. Values are held as
-    strings, so that one table serves attributes of every type.
+    Versions that a better one precedes never hold and are left out as well, and so are those with the value that
+    held before. Values are held as strings, so that one table serves attributes of every type.
     """
     rank = F.struct(F.col(valid_from).alias("valid_from"), F.col(known_at).alias("known_at"), F.col(tiebreak).cast("bigint").alias("tiebreak"))
-    pairs = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("value")) for a in attributes])
-    long = (
-        versions.filter(F.col(entity).isNotNull() & F.col(valid_from).isNotNull() & F.col(known_at).isNotNull())
-        .select(F.col(entity).alias("entity"), F.greatest(F.col(valid_from), F.date_add(utc_day(known_at), 1)).alias("visible_from"), rank.alias("_r"), F.inline(pairs))
-    )
-    if nulls == "skip":
-        long = long.filter(F.col("value").isNotNull())
-    long = long.select("entity", "attribute", "visible_from", F.struct("_r.*", "value").alias("state"))
-    seen = _running_max(long, "visible_from", ["state"], "state", "_best", list(hot), slice_days)
-    return seen.filter(F.col("_best") == F.col("state")).select("entity", "attribute", "visible_from", F.col("state").alias("rank"), F.col("state.value").alias("value"))
+    values = F.struct(*[F.col(a).cast("string").alias(f"a{i}") for i, a in enumerate(attributes)])
+    rows = versions.filter(F.col(entity).isNotNull() & F.col(valid_from).isNotNull() & F.col(known_at).isNotNull())
+    rows = rows.select(F.col(entity).alias("entity"), F.greatest(F.col(valid_from), F.date_add(utc_day(known_at), 1)).alias("visible_from"), rank.alias("r"), values.alias("v"))
+    each = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(f"v.a{i}").alias("value")) for i, a in enumerate(attributes)])
+
+    def steps(part: DataFrame) -> DataFrame:
+        long = part.select("entity", "visible_from", "r", F.inline(each))
+        if nulls == "skip":
+            long = long.filter(F.col("value").isNotNull())
+        daily = long.groupBy("entity", "attribute", "visible_from").agg(F.max(F.struct("r", "value")).alias("s"))
+        upto = Window.partitionBy("entity", "attribute").orderBy("visible_from")
+        held = daily.withColumn("_best", F.max("s").over(upto.rowsBetween(Window.unboundedPreceding, 0))).filter(F.col("_best") == F.col("s"))
+        new = held.withColumn("_before", F.lag(F.struct(F.col("s.value").alias("value"))).over(upto))
+        return new.filter(F.col("_before").isNull() | ~F.col("s.value").eqNullSafe(F.col("_before.value"))).select("entity", "attribute", "visible_from", F.col("s.value").alias("value"))
+
+    # One exchange, of whole versions, on the entity: what follows on finer keys needs no other.
+    usual = steps(rows.filter(~_is_hot(hot)).repartition("entity"))
+    return usual.unionByName(steps(rows.filter(_is_hot(hot)))) if hot else usual
 
 
 def attributes_as_known(
@@ -80,19 +72,32 @@ def attributes_as_known(
     event_day: str,
     attributes: dict[str, T.DataType | str],
     hot: list[str] = (),
-    slice_days: int = 91,
 ) -> DataFrame:
     """One row an event: ``event_key``, ``entity``, ``event_day`` and the attributes known then, null where none was.
 
     Events without entity or day are left out (nothing can be known of them); repeated events come out once.
     """
-    probes = events.select(*[F.col(c).alias(f"_e{i}") for i, c in enumerate(event_key)], F.col(entity).alias("entity"), F.col(event_day).alias("_day")).withColumn("attribute", F.explode(F.array(*[F.lit(a) for a in attributes])))
-    steps = histories.filter(F.col("attribute").isin(list(attributes))).select("entity", "attribute", F.col("visible_from").alias("_day"), F.lit(0).alias("_probe"), F.struct("visible_from", "rank").alias("_state"))
-    rows = steps.unionByName(probes.withColumn("_probe", F.lit(1)), allowMissingColumns=True)
-    known = _running_max(rows.filter("entity is not null and _day is not null"), "_day", ["_probe"], "_state", "_known", list(hot), slice_days).filter("_probe = 1")
-    ids = [*[f"_e{i}" for i in range(len(event_key))], "entity", "_day"]
-    wide = known.groupBy(*ids, *["_slice"] * bool(hot)).agg(*[F.max(F.when(F.col("attribute") == a, F.col("_known.rank.value"))).cast(k).alias(a) for a, k in attributes.items()])
-    return wide.select(*[F.col(f"_e{i}").alias(c) for i, c in enumerate(event_key)], F.col("entity").alias(entity), F.col("_day").alias(event_day), *attributes)
+    keys = [f"_e{i}" for i in range(len(event_key))]
+    probes = events.select(*[F.col(c).alias(k) for k, c in zip(keys, event_key)], F.col(entity).alias("entity"), F.col(event_day).alias("_day")).filter("entity is not null and _day is not null")
+    steps = histories.filter(F.col("attribute").isin(list(attributes))).select("entity", "attribute", F.col("visible_from").alias("_day"), F.lit(0).alias("_probe"), F.struct("visible_from", "value").alias("_state"))
+
+    def matched(steps: DataFrame, probes: DataFrame, ids: list[str], on_entity: bool) -> DataFrame:
+        """(ids, attributes): a last-known match for each attribute, then the pivot."""
+        rows = steps.unionByName(probes.withColumn("_probe", F.lit(1)), allowMissingColumns=True)
+        if on_entity:
+            rows = rows.repartition("entity")
+        asked = F.when(F.col("attribute").isNull(), F.array(*map(F.lit, attributes))).otherwise(F.array("attribute"))
+        rows = rows.withColumn("_attribute", F.explode(asked))
+        upto = Window.partitionBy("entity", "_attribute").orderBy("_day", "_probe").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        known = rows.withColumn("_known", F.max("_state").over(upto)).filter("_probe = 1")
+        return known.groupBy(*ids).agg(*[F.max(F.when(F.col("_attribute") == a, F.col("_known.value"))).cast(k).alias(f"_a{i}") for i, (a, k) in enumerate(attributes.items())])
+
+    wide = matched(steps.filter(~_is_hot(hot)), probes.filter(~_is_hot(hot)), [*keys, "entity", "_day"], True)
+    if hot:
+        busy = probes.filter(_is_hot(hot)).distinct()
+        days = matched(steps.filter(_is_hot(hot)), busy.select("entity", "_day").distinct(), ["entity", "_day"], False)
+        wide = wide.unionByName(busy.join(days, ["entity", "_day"]))
+    return wide.select(*[F.col(k).alias(c) for k, c in zip(keys, event_key)], F.col("entity").alias(entity), F.col("_day").alias(event_day), *[F.col(f"_a{i}").alias(a) for i, a in enumerate(attributes)])
 
 
 def find_hot(parts: list[DataFrame]) -> list[str]:

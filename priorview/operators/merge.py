@@ -60,9 +60,15 @@ def replace_table(spark: SparkSession, rows: DataFrame, path: str) -> None:
     every moment the old or the new table is whole in ``path`` or, between the renames, aside in ``path``.before, from
     where the next call (or ``recover_table``) takes it back. One writer at a time.
     """
+    staging = _beside(spark, path, ".staging")
+    rows.write.mode("overwrite").parquet(staging.toString())
+    put_in_place(spark, path)
+
+
+def put_in_place(spark: SparkSession, path: str) -> None:
+    """What was written to ``path``.staging takes the place of ``path``."""
     fs, target = _path(spark, path)
     staging, aside = _beside(spark, path, ".staging"), _beside(spark, path, ".before")
-    rows.write.mode("overwrite").parquet(staging.toString())
     if recover_table(spark, path):
         fs.delete(aside, True)
         _move(fs, target, aside)

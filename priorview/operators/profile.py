@@ -41,23 +41,54 @@ def deltas(rows: DataFrame, table_name: str, columns: list[str], load: str | Non
     return out.select(F.lit(table_name).alias("table_name"), "column_name", "load_id", "value", F.col("value").isNull().alias("is_null"), "n")
 
 
+def current_deltas(rows: DataFrame, table_name: str, key: Column, columns: list[str], load: str, order: str) -> DataFrame:
+    """Signed value counts of the *current* rows: a load's deltas are +1 for the values of each row that becomes the
+    current one of its ``key`` (newest ``order``, ties by the larger values), and -1 for those of the row it supersedes.
+
+    Rows that come late, older than what is held, change nothing. Rows without a key are left out; a null load is -1.
+    """
+    newest = F.struct(F.col(order).alias("o"), *[F.col(c).cast("string").alias(f"v{i}") for i, c in enumerate(columns)])
+    each = rows.select(key.alias("k"), F.coalesce(F.col(load).cast("int"), F.lit(-1)).alias("load_id"), newest.alias("r")).filter("k is not null")
+    best = each.groupBy("k", "load_id").agg(F.max("r").alias("r"))
+    upto = Window.partitionBy("k").orderBy("load_id")
+    held = best.withColumn("now", F.max("r").over(upto.rowsBetween(Window.unboundedPreceding, 0))).withColumn("before", F.max("r").over(upto.rowsBetween(Window.unboundedPreceding, -1)))
+    changed = held.filter(F.col("before").isNull() | (F.col("now") != F.col("before")))
+    signed = lambda r, n: F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{r}.v{i}").alias("value"), F.lit(n).alias("n")) for i, c in enumerate(columns)])
+    long = changed.select("load_id", F.inline(F.concat(signed("now", 1), F.when(F.col("before").isNotNull(), signed("before", -1)).otherwise(F.slice(signed("now", 1), 1, 0)))))
+    out = long.groupBy("column_name", "load_id", "value").agg(F.sum("n").alias("n")).filter("n <> 0")
+    return out.select(F.lit(table_name).alias("table_name"), "column_name", "load_id", "value", F.col("value").isNull().alias("is_null"), "n")
+
+
 class ValueCounts:
     """The persistent table of signed deltas, in ``path``: one folder for each application."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path = spark, path or scratch_path(spark, "value-counts")
+        self.spark, self.path = spark, (path or scratch_path(spark, "value-counts")).rstrip("/")
 
     def apply(self, changes: DataFrame, name: str) -> None:
         """Adds the deltas under ``name``; the same name again replaces them, so a retried load counts once."""
         changes.write.mode("overwrite").parquet(f"{self.path}/applied={name}")
 
+    def apply_loads(self, changes: DataFrame, name: str) -> None:
+        """Adds the deltas of many loads, each as an application of its own (``name``-load), in one pass over the base table."""
+        named = changes.withColumn("applied", F.concat(F.lit(f"{name}-"), "load_id"))
+        named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("applied").parquet(self.path)
+
+    def withdraw(self, name: str, load_id: int) -> None:
+        """Takes all counts of application ``name`` back, as the deltas of load ``load_id``: what it brought is gone from then on."""
+        was = self.spark.read.schema(T._parse_datatype_string(DELTAS)).parquet(f"{self.path}/applied={name}")
+        self.apply(was.withColumns({"n": -F.col("n"), "load_id": F.lit(load_id)}), f"{name}-withdrawn")
+
     def compact(self, name: str = "base") -> None:
-        """Sums all deltas up, drops values whose count is zero and leaves one application."""
-        other = ValueCounts(self.spark, f"{self.path}-compact")
-        other.apply(self.read().groupBy("table_name", "column_name", "load_id", "value", "is_null").agg(F.sum("n").alias("n")).filter("n <> 0"), name)
-        self.path = other.path
+        """Sums all deltas up, drops values whose count is zero and leaves one application in the same place."""
+        from priorview.operators.merge import put_in_place
+
+        sums = self.read().groupBy("table_name", "column_name", "load_id", "value", "is_null").agg(F.sum("n").alias("n")).filter("n <> 0")
+        sums.write.mode("overwrite").parquet(f"{self.path}.staging/applied={name}")
+        put_in_place(self.spark, self.path)
 
     def read(self) -> DataFrame:
+        """All deltas; of a store into which nothing was put yet none."""
         return self.spark.read.schema(T._parse_datatype_string(DELTAS)).parquet(f"{self.path}/applied=*")
 
 
@@ -147,9 +178,11 @@ def maintained_profile(counts: DataFrame, numeric: dict[tuple[str, str], str] |
     order = F.struct(as_number.alias("number"), F.col("value").alias("value"))
     loads = state.select(*col, "_loads").distinct()
     alive = run.filter(there & (F.col("new") > 0)).select(*col, "load_id", "until", order.alias("o"))
-    # A value that stays alive counts in each load until it is touched again: filtered per load, combined before the shuffle.
-    spread = alive.join(loads, col).select(*col, "o", F.explode(F.filter("_loads", lambda x: (x >= F.col("load_id")) & (F.col("until").isNull() | (x < F.col("until"))))).alias("load_id"))
-    ranges = spread.groupBy(*col, "load_id").agg(F.min("o").alias("lo"), F.max("o").alias("hi"))
+    # A value that stays alive counts in each load until it is touched again. Values alive over the same loads are combined
+    # first, before the shuffle, so that at most loads^2 rows a column, not its values, are laid out over the loads.
+    spans = alive.groupBy(*col, "load_id", "until").agg(F.min("o").alias("lo"), F.max("o").alias("hi"))
+    spread = spans.join(loads, col).select(*col, "lo", "hi", F.explode(F.filter("_loads", lambda x: (x >= F.col("load_id")) & (F.col("until").isNull() | (x < F.col("until"))))).alias("load_id"))
+    ranges = spread.groupBy(*col, "load_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     values = F.col("rows_n") - F.col("nulls_n")
     return state.join(ranges, [*col, "load_id"], "left").select(*col, "load_id", "rows_n", "nulls_n", "distinct_n", F.when(values > 0, F.log2(values) - F.col("_h") / values).alias("entropy"), F.col("lo.value").alias("min_value"), F.col("hi.value").alias("max_value"))
 

@@ -18,6 +18,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, app: str = "priorvi
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("PRIORVIEW_DRIVER_MEMORY", "8g"))
         .config("spark.driver.host", "127.0.0.1")
         .getOrCreate()
@@ -29,18 +30,35 @@ def local_session(cores: int | str = 8, partitions: int = 8, app: str = "priorvi
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, taken from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) is a temporary folder set.
+    Only where all run in one machine (tests, a laptop) and the session names none is a temporary folder set.
     """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = sc.getConf().get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="priorview-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a table in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a table in the shared folder; ``drop_scratch`` deletes it."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+_scratch: list[str] = []
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Deletes the tables this process wrote to the shared folder, once the results that read them are done with.
+
+    Checkpoints are Spark's own: spark.cleaner.referenceTracking.cleanCheckpoints deletes those no longer used.
+    """
+    while _scratch:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -29,8 +29,8 @@ def test_matches_brute_force_with_ties_repeats_and_late_knowledge(spark, hot, nu
     versions = list({v[:4]: v for v in versions}.values()) + versions[:20]
     versions = [v for i, v in enumerate(versions) if v in versions[:i] or all(w[:4] != v[:4] for w in versions[:i])]
     events = [(f"k{i}", f"e{r.randrange(6)}", day()) for i in range(120)] + [("n", None, day()), ("m", "e1", None)]
-    histories = change_histories(spark.createDataFrame(versions, V), "entity", "as_of", "known", "id", ["a", "b"], nulls, hot, 30)
-    got = attributes_as_known(spark.createDataFrame(events + events[:5], "k string, entity string, day date"), histories, ["k"], "entity", "day", {"a": "int", "b": "string"}, hot, 30).collect()
+    histories = change_histories(spark.createDataFrame(versions, V), "entity", "as_of", "known", "id", ["a", "b"], nulls, hot)
+    got = attributes_as_known(spark.createDataFrame(events + events[:5], "k string, entity string, day date"), histories, ["k"], "entity", "day", {"a": "int", "b": "string"}, hot).collect()
     assert len(got) == 120
     for column, name in ((4, "a"), (5, "b")):
         assert {(g.k, g.entity, g.day): g[name] for g in got} == brute(events, versions, column, nulls)
@@ -48,3 +48,11 @@ def test_a_version_of_the_day_itself_is_not_known(spark):
     e = spark.createDataFrame([("k5", "e", date(2020, 1, 5)), ("k6", "e", date(2020, 1, 6))], "k string, entity string, day date")
     got = attributes_as_known(e, change_histories(v, "entity", "as_of", "known", "id", ["a"]), ["k"], "entity", "day", {"a": "int"})
     assert {r.k: r.a for r in got.collect()} == {"k5": None, "k6": 7}
+
+
+@pytest.mark.parametrize("hot", [[], ["e"]])
+def test_only_changes_are_kept(spark, hot):
+    d = lambda n: date(2020, 1, n)
+    rows = [("e", d(n), datetime(2019, 1, 1), n, a, "x", "z") for n, a in ((1, 5), (2, 5), (3, 6), (4, 6), (6, None), (7, None), (8, 6))] + [("e", d(5), datetime(2020, 1, 20), 9, 7, "x", "z"), ("e", d(3), datetime(2019, 1, 1), 2, 9, "x", "z")]
+    got = sorted((r.attribute, r.visible_from, r.value) for r in change_histories(spark.createDataFrame(rows, V), "entity", "as_of", "known", "id", ["a", "b"], "keep", hot).collect())
+    assert got == [("a", d(1), "5"), ("a", d(3), "6"), ("a", d(6), None), ("a", d(8), "6"), ("b", d(1), "x")]

@@ -3,7 +3,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from priorview.operators.profile import Form, ValueCounts, breaches, deltas, load_metrics, maintained_profile
+from priorview.functions.keys import norm_id
+from priorview.operators.profile import Form, ValueCounts, breaches, current_deltas, deltas, load_metrics, maintained_profile
 
 FORMS = {("t", "c"): Form(lambda v: v.isin("a", "b"), "share"), ("t", "x"): Form(lambda v: F.expr("try_cast(value as double)").between(0, 100), "mean")}
 
@@ -53,3 +54,25 @@ def test_nulls_blanks_and_empty_tables(spark, tmp_path):
     empty = ValueCounts(spark, str(tmp_path / "none"))
     empty.apply(deltas(spark.createDataFrame([], "load int, c string"), "t", ["c"], "load"), "all")
     assert load_metrics(empty.read(), FORMS).count() == 0 and maintained_profile(empty.read()).count() == 0
+
+
+def test_current_rows_come_and_go(spark, tmp_path):
+    """Records fetched again take their old values back; late rows and rows without a key change nothing."""
+    data = [(1, "k1", 10, "a"), (1, "k2", 10, "a"), (2, "K1 ", 20, "b"), (2, None, 20, "z"), (3, "k1", 15, "late"), (3, "k2", 30, None), (4, "k2", 30, None), (None, "k9", 1, "x")]
+    rows = spark.createDataFrame(data, "load int, key string, at int, v string")
+    store = ValueCounts(spark, str(tmp_path / "counts"))
+    changes = current_deltas(rows, "t", norm_id("key"), ["v"], "load", "at")
+    for _ in range(2):  # a load given again counts once
+        store.apply_loads(changes, "t")
+    want = {-1: ["x"], 1: ["x", "a", "a"], 2: ["x", "b", "a"], 3: ["x", "b", None]}
+    for step in range(3):
+        got = {r.load_id: r for r in maintained_profile(store.read()).collect()}
+        for load, state in want.items():
+            known = [x for x in state if x is not None]
+            assert (got[load].rows_n, got[load].nulls_n, got[load].distinct_n, got[load].min_value, got[load].max_value) == (len(state), state.count(None), len(set(known)), min(known), max(known))
+        if step == 0:
+            store.compact()
+        elif step == 1:
+            store.apply(deltas(spark.createDataFrame([("q",)], "v string"), "t", ["v"], None, 1, 7), "extra")
+            store.withdraw("extra", 8)
+            want[7], want[8] = [*want[3], "q"], want[3]
