@@ -1,7 +1,9 @@
 import random
 from datetime import datetime, timedelta
 
-from priorview.operators.orphans import Ranges, Reference, orphan_references, orphan_report
+import pyarrow as pa
+
+from priorview.operators.orphans import Ranges, Reference, _fixed, orphan_references, orphan_report, placed
 
 T = "id string, ref string, scraped_at timestamp, extra int, key string"
 
@@ -51,3 +53,14 @@ def test_ranges_keep_the_order_of_keys(spark):
     by = {g.k: g.r for g in got}
     order = [by[k] for k in sorted(by)]
     assert order == sorted(order) and set(order) == set(range(5))
+
+
+def test_groups_are_placed_by_weight():
+    weights = [50, 1, 1, 1, 20, 20, 10, 0, 0, 30]
+    at = placed(weights, 3)
+    assert max(sum(w for w, t in zip(weights, at) if t == k) for k in range(3)) == 50 and set(at) == {0, 1, 2} and placed([], 2) == []
+
+
+def test_keys_as_fixed_bytes():
+    a = pa.array(["b", "", "añc", "zz-9"])
+    assert _fixed(a).tolist() == ["b".encode(), b"", "añc".encode(), b"zz-9"] and _fixed(a.slice(2, 1)).tolist() == ["añc".encode()] and len(_fixed(a.slice(0, 0))) == 0
