@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from priorview.functions.keys import current_rows, norm_id
 from priorview.llm.leakage import leak_spans, leaked_items
-from priorview.llm.names import Physique, cluster_pairs, link_profiles, link_spellings
+from priorview.llm.names import SHORT_FORMS, Linking, Physique, cluster_pairs, link_profiles, link_spellings
 from priorview.llm.ranking import comparisons, rank_items
 from priorview.llm.splitting import split_corpus
 from priorview.llm.tokenizer import Vocabulary, decode_corpus, encode_corpus
@@ -30,7 +30,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def official_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = table(spark, sf_dir, "fights").select(F.explode(F.array("referee", "judge_1", "judge_2", "judge_3")).alias("name")).filter("name <> ''")
-    return link_spellings(typed, "name")
+    return link_spellings(typed, "name", Linking(short_forms=SHORT_FORMS))
 
 
 def fighter_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def fighter_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def linked_fighters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_profiles(fighter_profiles(spark, sf_dir), "fighter_id", "full_name", "dob", Physique({"height_cm": 2.6, "reach_cm": 2.1, "weight_lbs": 2.0}))
+    return link_profiles(fighter_profiles(spark, sf_dir), "fighter_id", "full_name", "dob", Physique({"height_cm": 2.6, "reach_cm": 2.1, "weight_lbs": 2.0}), SHORT_FORMS)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,13 +3,15 @@ import math
 import os
 import random
 from collections import Counter
+from dataclasses import replace
 from datetime import date
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from priorview.functions.keys import current_rows
-from priorview.llm.names import Linking, Physique, cluster_pairs, link_profiles, link_spellings, monge_elkan, name_tokens, same_name, star_clusters, token_similarity, with_weights, banded, candidates
+from priorview.llm.names import SHORT_FORMS, Linking, Physique, banded, candidates, cluster_pairs, link_profiles, link_spellings, monge_elkan, name_tokens, numbered, same_name, shared_bands, star_clusters, token_similarity, tokenised, verified
 from priorview.llm.queries import p6_ranking
 from priorview.llm.ranking import Scaling, comparisons, met, rank_items
 from priorview.session import table
@@ -22,7 +24,8 @@ VARIANTS = [
 
 @pytest.mark.parametrize("name, tokens", [("Judge O'Brien, Pat", ["obrien", "patricia"]), (None, []), ("  ", []), ("Mr. Jr.", []), ("Zoë “Two Bells” Lortafelt", ["zoe", "lortafelt"]), ("TimothyNarpavane", ["timothy", "narpavane"]), ("Mtathew\tX. Long", ["mtathew", "long"])])
 def test_tokens(name, tokens):
-    assert name_tokens(name) == tokens
+    assert name_tokens(name, SHORT_FORMS) == tokens
+    assert name_tokens("Pat Long") == ["pat", "long"]
 
 
 def test_similarities():
@@ -33,7 +36,7 @@ def test_similarities():
 
 def test_spellings_of_one_person_are_linked(spark):
     names = [(n,) for own in VARIANTS for n in own] + [(None,), (" ",), ("",), ("Jr.",)]
-    got = link_spellings(spark.createDataFrame(names * 2, "who string"), "who")
+    got = link_spellings(spark.createDataFrame(names * 2, "who string"), "who", Linking(short_forms=SHORT_FORMS))
     pairs = {(r.key_a, r.key_b) for r in cluster_pairs(got, "name", "cluster").collect()}
     assert pairs == {tuple(sorted(p)) for own in VARIANTS for p in itertools.combinations(own, 2)}
     assert link_spellings(spark.createDataFrame([], "who string"), "who").count() == 0
@@ -46,9 +49,31 @@ def test_bands_follow_the_collision_curve_and_meet_the_recall(spark):
     base = ["".join(r.choice("abcdeghiklmnorstuv") for _ in range(8)) for _ in range(120)]
     typo = lambda w: w[:3] + r.choice("xyz") + w[4:]
     nodes = spark.createDataFrame([(f"{i:03d}{x}", [w if x == "a" else typo(w), f"first{i % 5}"]) for i, w in enumerate(base) for x in "ab"], "node string, tokens array<string>")
-    bands = banded(with_weights(nodes, how), how, [])
-    met = {(c.a, c.b) for c in candidates(bands, bands, []).select("a", "b").collect()}
-    assert sum((f"{i:03d}a", f"{i:03d}b") in met for i in range(120)) / 120 >= 0.9
+    named = numbered(nodes, how)
+    ids = {r.id: r.node for r in named.collect()}
+    for hot in (10**6, 30):  # whole bands, and large ones split
+        bands, _ = shared_bands(banded(named, how), named, replace(how, hot=hot))
+        pairs = [tuple(sorted((ids[c.a], ids[c.b]))) for c in candidates(bands, bands).collect()]
+        assert len(pairs) == len(set(pairs)) and sum((f"{i:03d}a", f"{i:03d}b") in set(pairs) for i in range(120)) / 120 >= 0.9
+
+
+def test_names_too_much_alike_to_be_split_keep_their_links(spark):
+    how = Linking(hot=10)
+    named = numbered(spark.createDataFrame([(f"n{i:02d}", ["maximilian", "oberhausen"]) for i in range(40)], "node string, tokens array<string>"), how)
+    bands, _ = shared_bands(banded(named, how), named, how)
+    assert candidates(bands, bands).count() == 40 * 39 // 2
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables here")
+def test_bands_find_the_links_of_brute_force(spark):
+    """All pairs of the officials' names, verified one by one, against those that share a band."""
+    how = Linking(short_forms=SHORT_FORMS)
+    typed = table(spark, "/root/testdata/sf0.01", "fights").select(F.explode(F.array("referee", "judge_1", "judge_2", "judge_3")).alias("name")).filter("name <> ''").distinct()
+    nodes = numbered(tokenised(typed, "name", SHORT_FORMS).withColumn("node", F.array_join(F.array_sort("tokens"), " ")).groupBy("node").agg(F.min("tokens").alias("tokens")), how)
+    linked = {tuple(sorted((a.node, b.node))) for a, b in itertools.combinations(nodes.collect(), 2) if same_name(a.tokens, b.tokens, a.rare, b.rare, how)}
+    bands, _ = shared_bands(banded(nodes, how), nodes, how)
+    found = {(r.a, r.b) for r in verified(candidates(bands, bands), nodes, how).collect()}
+    assert found <= linked and len(linked) > 100 and len(found) / len(linked) >= 0.9
 
 
 def test_profiles(spark):
