@@ -1,3 +1,4 @@
+import os
 from datetime import date
 
 import pytest
@@ -37,3 +38,30 @@ def test_held_out_values_come_out_close(spark):
     truth = {r[0]: r[1] for r in people()}
     got = fill_missing(spark.createDataFrame(rows, S), "id", RULES).filter("h_filled").collect()
     assert got and all(abs(r.h - truth[r.id]) <= 2 for r in got)
+
+
+def held_out_errors(spark, folder, share=5):
+    """column -> (mean absolute error of filled values, of the median of all), over every ``share``th known value, hidden."""
+    from pyspark.sql import functions as F
+
+    from priorview.functions.keys import current_rows
+    from priorview.plans.general import MEASURES
+    from priorview.session import table
+
+    rows = current_rows(table(spark, folder, "fighters"), "fighter_id", ["fighter_id", "height_cm", "reach_cm", "weight_lbs", "dob", "stance"])
+    hide = lambda c: F.pmod(F.xxhash64("fighter_id", F.lit(c)), F.lit(share)) == 0
+    good = {c: F.col(c).between(*[F.lit(b).cast(rows.schema[c].dataType) for b in MEASURES.numeric[c]]) for c in MEASURES.fill}
+    number = lambda c: (F.unix_date(c) if c == "dob" else F.col(c)).cast("double")
+    truth = rows.select("fighter_id", *[F.when(hide(c) & good[c], number(c)).alias(f"t_{c}") for c in MEASURES.fill])
+    filled = fill_missing(rows.withColumns({c: F.when(~hide(c), F.col(c)) for c in MEASURES.fill}), "fighter_id", MEASURES)
+    both = filled.join(truth, "fighter_id")
+    middle = both.agg(*[F.percentile(F.when(F.col(f"t_{c}").isNull() & good[c], number(c)), F.lit(0.5)).alias(c) for c in MEASURES.fill]).first()
+    e = both.agg(*[F.avg(F.abs(number(c) - F.col(f"t_{c}"))).alias(c) for c in MEASURES.fill], *[F.avg(F.abs(F.lit(middle[c]) - F.col(f"t_{c}"))).alias(f"m_{c}") for c in MEASURES.fill], F.count_if(~F.col("dob_filled") & F.col("t_dob").isNotNull()).alias("unmarked")).first()
+    assert e.unmarked == 0
+    return {c: (e[c], e[f"m_{c}"]) for c in MEASURES.fill}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables here")
+def test_held_out_measures_are_nearer_than_the_median_of_all(spark):
+    found = held_out_errors(spark, "/root/testdata/sf0.01")
+    assert found["height_cm"][0] < 0.6 * found["height_cm"][1] and found["reach_cm"][0] < 0.6 * found["reach_cm"][1] and found["dob"][0] <= 1.02 * found["dob"][1]
