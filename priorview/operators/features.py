@@ -1,18 +1,22 @@
 """Feature families of each side of a bout, from what was known before its day.
 
-All families of a pass share one sum per entity and day and one join back. ``snapshots`` puts them
-together, ``bout_rows`` pairs the two sides.
+Each family can be had by itself. ``snapshots`` takes all of them from one pass over an entity's days
+(``prior_state``) and one join back, and the opponent-adjusted ones from a second; ``bout_table`` pairs the two sides.
+Families are listed in ``FAMILIES``; ``register`` adds one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from priorview.functions.keys import current_rows
 from priorview.functions.scalars import rate, share
 from priorview.operators.elo import sequential_ratings
-from priorview.operators.history import bouts, participants, prior_last, prior_streaks, prior_sums
+from priorview.operators.history import bouts, participants, prior_last, prior_state, prior_sums
 from priorview.session import materialise
 
 KEYS = ["fighter_id", "day"]
@@ -125,8 +129,7 @@ def with_sums(p: DataFrame, sums: dict[str, Column]) -> DataFrame:
 def career(p: DataFrame) -> DataFrame:
     """(fight_id, fighter_id, career family, current streaks)."""
     lost = (F.col("result_type") == "win") & ~F.col("won")
-    streaks = prior_streaks(p, "fighter_id", "day", "fight_id", {"current_win_streak": F.col("won"), "current_lose_streak": lost})
-    rows = with_sums(p, career_sums()).join(streaks, KEYS)
+    rows = p.join(prior_state(p, "fighter_id", "day", "fight_id", career_sums(), {"current_win_streak": F.col("won"), "current_lose_streak": lost}, {}, 0), KEYS)
     return rows.select("fight_id", "fighter_id", *[e.alias(k) for k, e in career_features().items()], *[F.col(c).cast("int").alias(c) for c in ("current_win_streak", "current_lose_streak")])
 
 
@@ -143,40 +146,67 @@ def profiles(fighters: DataFrame) -> DataFrame:
     return current_rows(fighters, "fighter_id", ["fighter_id", "height_cm", "reach_cm", "weight_lbs", "dob", "stance"])
 
 
-def activity_days(p: DataFrame) -> DataFrame:
-    """(fighter_id, day, first_day, last_day) of the earlier bouts."""
-    from pyspark.sql import Window
+@dataclass(frozen=True)
+class Family:
+    """A feature family: what is summed over each earlier bout, and the features made of those sums (null without any)."""
+
+    sums: Callable[[], dict[str, Column]]
+    features: Callable[[], dict[str, Column]]
+
+
+FAMILIES: dict[str, Family] = {"career": Family(career_sums, career_features), "decay": Family(lambda: decay_sums(365.0), decay_features)}
+
 
-    w = Window.partitionBy("fighter_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    return p.select(*KEYS).distinct().select(*KEYS, F.min("day").over(w).alias("first_day"), F.max("day").over(w).alias("last_day"))
+def register(name: str, sums: Callable[[], dict[str, Column]], features: Callable[[], dict[str, Column]]) -> None:
+    """Adds a family, or takes the place of one of that name."""
+    FAMILIES[name] = Family(sums, features)
+
+
+def family(p: DataFrame, name: str) -> DataFrame:
+    """(fight_id, fighter_id, features) of a registered family over participants."""
+    f = FAMILIES[name]
+    return with_sums(p, f.sums()).select("fight_id", "fighter_id", *[e.alias(k) for k, e in f.features().items()])
 
 
 def physical(p: DataFrame, fighters: DataFrame) -> DataFrame:
-    rows = with_sums(p, {k: career_sums()[k] for k in ("n", "five", "title")}).join(activity_days(p), KEYS).join(profiles(fighters), "fighter_id", "left")
+    state = prior_state(p, "fighter_id", "day", "fight_id", {k: career_sums()[k] for k in ("n", "five", "title")}, {}, {}, 0)
+    rows = p.join(state, KEYS).join(profiles(fighters), "fighter_id", "left")
     return rows.select("fight_id", "fighter_id", *[e.alias(k) for k, e in physical_features().items()])
 
 
+def with_opponent(w: DataFrame) -> DataFrame:
+    """Adds ``x``, the other side's state before the bout, from its own row of it (two rows a bout, no join)."""
+    state, of_bout = F.struct("n", "won_n", "secs", "o_sig_l", "o_td_l", "o_ctrl", "pre_elo"), Window.partitionBy("fight_id")
+    side = lambda i: F.max(F.when(F.col("side") == i, state)).over(of_bout)
+    return w.withColumn("x", F.when(F.col("side") == 1, side(2)).otherwise(side(1)))
+
+
+_ADJUSTED = ("opp_adjusted_sig_strike_rate", "opp_adjusted_takedown_rate", "opp_adjusted_control_rate", "avg_opponent_elo", "avg_opponent_win_rate")
+
+
+def _adjusted_sums() -> dict[str, Column]:
+    """Of each bout the own rate, relative to what that opponent had conceded before it, and the opponent's rating and win rate."""
+    x = lambda k: F.col(f"x.{k}")
+    minutes, theirs = F.when(F.col("dur") > 0, F.col("dur") / 60), F.nullif(x("secs") / 60, F.lit(0.0))
+    mine = lambda k: F.col(f"my.{k}").cast("double")
+    above = lambda c: F.when(c > 0, c)
+    values = dict(zip(_ADJUSTED, (
+        mine("sig_l") / minutes / above(x("o_sig_l") / theirs), mine("td_l") / minutes / above(x("o_td_l") / theirs), F.when(minutes.isNotNull(), mine("ctrl")) / above(x("o_ctrl") / F.nullif(x("n"), F.lit(0))),
+        x("pre_elo"), x("won_n") / F.nullif(x("n"), F.lit(0)),
+    )))
+    return {f"s_{k}": v.cast("double") for k, v in values.items()} | {f"c_{k}": F.when(v.isNotNull(), 1) for k, v in values.items()}
+
+
+def _adjusted_features() -> dict[str, Column]:
+    return {k: rate(F.col(f"s_{k}"), F.col(f"c_{k}")) for k in _ADJUSTED}
+
+
 def opponent_adjusted(w: DataFrame) -> DataFrame:
     """(fight_id, fighter_id, ratios): means over earlier bouts of the own rate there, relative to what that opponent had
-    conceded before it, and of the opponents' ratings and win rates.
-
-    w: participants with ``pre_elo`` and their prior career sums; the opponent's state at a bout is its own row of it.
+    conceded before it, and of the opponents' ratings and win rates. w: participants with ``pre_elo`` and their prior career sums.
     """
-    o = w.select(F.col("fight_id").alias("of"), F.col("fighter_id").alias("oo"), *[F.col(c).alias(f"x_{c}") for c in ("n", "won_n", "secs", "o_sig_l", "o_td_l", "o_ctrl", "pre_elo")])
-    j = w.join(o, (F.col("fight_id") == F.col("of")) & (F.col("opponent_id") == F.col("oo")))
-    minutes, theirs = F.when(F.col("dur") > 0, F.col("dur") / 60), F.nullif(F.col("x_secs") / 60, F.lit(0.0))
-    mine = lambda k: F.col(f"my.{k}").cast("double")
-    above = lambda x: F.when(x > 0, x)
-    values = {
-        "opp_adjusted_sig_strike_rate": mine("sig_l") / minutes / above(F.col("x_o_sig_l") / theirs),
-        "opp_adjusted_takedown_rate": mine("td_l") / minutes / above(F.col("x_o_td_l") / theirs),
-        "opp_adjusted_control_rate": F.when(minutes.isNotNull(), mine("ctrl")) / above(F.col("x_o_ctrl") / F.nullif(F.col("x_n"), F.lit(0))),
-        "avg_opponent_elo": F.col("x_pre_elo"),
-        "avg_opponent_win_rate": F.col("x_won_n") / F.nullif(F.col("x_n"), F.lit(0)),
-    }
-    sums = {f"s_{k}": v.cast("double") for k, v in values.items()} | {f"c_{k}": F.when(v.isNotNull(), 1) for k, v in values.items()}
-    prior = prior_sums(j, "fighter_id", "day", sums)
-    return w.select("fight_id", *KEYS).join(prior, KEYS).select("fight_id", "fighter_id", *[rate(F.col(f"s_{k}"), F.col(f"c_{k}")).alias(k) for k in values])
+    prior = prior_sums(with_opponent(w), "fighter_id", "day", _adjusted_sums())
+    return w.select("fight_id", *KEYS).join(prior, KEYS).select("fight_id", "fighter_id", *[e.alias(k) for k, e in _adjusted_features().items()])
 
 
 def ratings(fights: DataFrame, cards: DataFrame, k: float = 32.0, initial: float = 1500.0) -> DataFrame:
@@ -192,18 +222,17 @@ def rated_sums(p: DataFrame, elo: DataFrame, half_life_days: float = 365.0) -> D
 def snapshots(fights: DataFrame, cards: DataFrame, stats: DataFrame, fighters: DataFrame, windows: tuple[int, ...] = (1, 3, 5), half_life_days: float = 365.0) -> DataFrame:
     """One wide row for each side of each bout: all families over the bouts before its day."""
     p = materialise(participants(fights, cards, stats), "sides")
-    w = rated_sums(p, ratings(fights, cards), half_life_days)
-    last = prior_last(w, "fighter_id", "day", "fight_id", _recent() | {"pre_elo": F.col("pre_elo")}, max(windows), "last")
+    one = p.filter("side = 1").select("fight_id", "day", F.col("fighter_id").alias("fighter_1_id"), F.col("opponent_id").alias("fighter_2_id"), "winner_fighter_id", "result_type")
+    rated = p.join(sequential_ratings(one), ["fight_id", "fighter_id"])
     lost = (F.col("result_type") == "win") & ~F.col("won")
-    streaks = prior_streaks(w, "fighter_id", "day", "fight_id", {"current_win_streak": F.col("won"), "current_lose_streak": lost})
-    opp = opponent_adjusted(w)
-    other = w.select("fight_id", F.col("fighter_id").alias("opponent_id"), F.col("pre_elo").alias("opponent_pre_fight_elo"))
-    rows = w.join(last, KEYS).join(streaks, KEYS).join(activity_days(w), KEYS).join(profiles(fighters), "fighter_id", "left").join(opp, ["fight_id", "fighter_id"]).join(other, ["fight_id", "opponent_id"])
+    streaks = {"current_win_streak": F.col("won"), "current_lose_streak": lost}
+    state = prior_state(rated, "fighter_id", "day", "fight_id", career_sums() | decay_sums(half_life_days), streaks, _recent() | {"pre_elo": F.col("pre_elo")}, max(windows))
+    w = materialise(with_opponent(rated.join(state, KEYS)), "participants")
+    rows = w.join(prior_sums(w, "fighter_id", "day", _adjusted_sums()), KEYS).join(profiles(fighters), "fighter_id", "left")
     families = career_features() | rolling_features(windows) | decay_features() | physical_features()
-    elo = {"pre_fight_elo": F.col("pre_elo"), "opponent_pre_fight_elo": F.col("opponent_pre_fight_elo"), "elo_change_last_fight": F.col("pre_elo") - F.try_element_at("last", F.lit(-1))["pre_elo"]}
+    elo = {"pre_fight_elo": F.col("pre_elo"), "opponent_pre_fight_elo": F.col("x.pre_elo"), "elo_change_last_fight": F.col("pre_elo") - F.try_element_at("last", F.lit(-1))["pre_elo"]}
     kept = ["fight_id", "fighter_id", "opponent_id", "side", F.col("event_date").alias("as_of_date"), "weight_class", "is_title_fight", "scheduled_rounds", "result_type", "won"]
-    adjusted = [c for c in opp.columns if c not in ("fight_id", "fighter_id")]
-    return rows.select(*kept, *[e.alias(k) for k, e in (families | elo).items()], "current_win_streak", "current_lose_streak", *adjusted)
+    return rows.select(*kept, *[e.alias(k) for k, e in (families | elo).items()], "current_win_streak", "current_lose_streak", *[e.alias(k) for k, e in _adjusted_features().items()])
 
 
 _ROLLED = {"finish_rate": "finish_rate", "sig_strikes_landed_pm": "sig_strikes_landed_per_min", "sig_strikes_absorbed_pm": "sig_strikes_absorbed_per_min", "sig_strike_accuracy": "sig_strike_accuracy", "takedown_accuracy": "takedown_accuracy", "control_rate": "control_time_per_fight", "knockdowns_pm": "knockdowns_per_fight"}

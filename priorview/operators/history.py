@@ -58,24 +58,40 @@ def prior_sums(rows: DataFrame, entity: str, day: str, sums: dict[str, Column])
 
 def prior_streaks(rows: DataFrame, entity: str, day: str, order: str, holds: dict[str, Column]) -> DataFrame:
     """(entity, day, *holds): how many of the last bouts before the day, in a row, each condition held for."""
-    flat = rows.select(entity, day, order, *[F.coalesce(e, F.lit(False)).alias(k) for k, e in holds.items()])
-    at = F.row_number().over(Window.partitionBy(entity, day).orderBy(order))
-    daily = flat.withColumn("_at", at).groupBy(entity, day).agg(F.count(F.lit(1)).alias("_n"), *[F.max(F.when(~F.col(k), F.col("_at"))).alias(k) for k in holds])
-    upto = Window.partitionBy(entity).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
-    out = daily
-    for k in holds:  # a day that breaks the run starts a new one with what follows the break
-        out = out.withColumn(f"_i{k}", F.count(k).over(upto)).withColumn(f"_t{k}", F.col("_n") - F.coalesce(k, F.lit(0)))
-    for k in holds:
-        out = out.withColumn(f"_s{k}", F.sum(f"_t{k}").over(Window.partitionBy(entity, f"_i{k}").orderBy(day).rowsBetween(Window.unboundedPreceding, 0)))
-    before = Window.partitionBy(entity).orderBy(day)
-    return out.select(entity, day, *[F.coalesce(F.lag(f"_s{k}").over(before), F.lit(0)).alias(k) for k in holds])
+    return prior_state(rows, entity, day, order, {}, holds, {}, 0).select(entity, day, *holds)
 
 
 def prior_last(rows: DataFrame, entity: str, day: str, order: str, payload: dict[str, Column], n: int, out: str) -> DataFrame:
     """(entity, day, out): the last ``n`` bouts before each day as an array, oldest first, of structs of ``order`` and ``payload``."""
-    flat = rows.select(entity, day, F.struct(F.col(order), *[e.alias(k) for k, e in payload.items()]).alias("b"))
-    latest = flat.withColumn("_r", F.row_number().over(Window.partitionBy(entity, day).orderBy(F.col(f"b.{order}").desc()))).filter(F.col("_r") <= n)
-    daily = latest.groupBy(entity, day).agg(F.sort_array(F.collect_list("b")).alias("b"))
-    before = Window.partitionBy(entity).orderBy(day).rowsBetween(-n, -1)
-    flat_list = F.flatten(F.collect_list("b").over(before))
-    return daily.withColumn(out, flat_list).select(entity, day, F.when(F.size(out) <= n, F.col(out)).otherwise(F.slice(out, -n, n)).alias(out))
+    return prior_state(rows, entity, day, order, {}, {}, payload, n, out).select(entity, day, out)
+
+
+def prior_state(rows: DataFrame, entity: str, day: str, order: str, sums: dict[str, Column], holds: dict[str, Column], payload: dict[str, Column], n: int, out: str = "last") -> DataFrame:
+    """(entity, day, first_day, last_day, *sums, *holds, out): all that is known of an entity before a day, in one pass.
+
+    Sums as in ``prior_sums``, runs as in ``prior_streaks``, the last ``n`` bouts as in ``prior_last``, and the first and the
+    last earlier day. Bouts are combined to one row an entity and day, those to their prior state by one exchange on the
+    entity, whatever the number of families.
+    """
+    of_day = Window.partitionBy(entity, day)
+    bout = [F.struct(F.col(order), *[e.alias(k) for k, e in payload.items()]).alias("_b")] if n else []
+    flat = rows.select(entity, day, order, *[e.alias(f"_v{k}") for k, e in sums.items()], *[F.coalesce(e, F.lit(False)).alias(f"_h{k}") for k, e in holds.items()], *bout)
+    if holds or n:
+        flat = flat.withColumn("_at", F.row_number().over(of_day.orderBy(order))).withColumn("_of", F.count(F.lit(1)).over(of_day))
+    parts = [F.sum(f"_v{k}").alias(f"_v{k}") for k in sums] + [F.max(F.when(~F.col(f"_h{k}"), F.col("_at"))).alias(f"_h{k}") for k in holds]
+    if n:
+        parts.append(F.sort_array(F.collect_list(F.when(F.col("_at") > F.col("_of") - n, F.col("_b")))).alias("_b"))
+    daily = flat.groupBy(entity, day).agg(F.count(F.lit(1)).alias("_n"), *parts)
+    in_order = Window.partitionBy(entity).orderBy(day)
+    before, upto = in_order.rowsBetween(Window.unboundedPreceding, -1), in_order.rowsBetween(Window.unboundedPreceding, 0)
+    made = {f"_s{k}": F.sum(f"_v{k}").over(before) for k in sums} | {"first_day": F.min(day).over(before), "last_day": F.max(day).over(before)}
+    for k in holds:  # a day that breaks the run starts a new one with what follows the break
+        made |= {f"_i{k}": F.count(f"_h{k}").over(upto), f"_t{k}": F.col("_n") - F.coalesce(f"_h{k}", F.lit(0))}
+    if n:
+        made["_l"] = F.flatten(F.collect_list("_b").over(in_order.rowsBetween(-n, -1)))
+    state = daily.withColumns(made)
+    for k in holds:
+        state = state.withColumn(f"_r{k}", F.sum(f"_t{k}").over(Window.partitionBy(entity, f"_i{k}").orderBy(day).rowsBetween(Window.unboundedPreceding, 0)))
+    runs = [F.coalesce(F.lag(f"_r{k}").over(in_order), F.lit(0)).alias(k) for k in holds]
+    last = [F.when(F.size("_l") <= n, F.col("_l")).otherwise(F.slice("_l", -n, n)).alias(out)] if n else []
+    return state.select(entity, day, "first_day", "last_day", *[F.col(f"_s{k}").alias(k) for k in sums], *runs, *last)

@@ -15,9 +15,6 @@ from priorview.operators.pages import LABEL, NAME, NICKNAME, OFFICIAL, OUTCOME,
 from priorview.plans.general import _id
 from priorview.session import table
 
-_TEXT = F.lit(None).cast("string")
-
-
 def _fetched() -> Column:
     return F.concat(F.date_format(F.to_utc_timestamp("scraped_at", F.current_timezone()), "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
 
