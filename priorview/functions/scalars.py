@@ -198,7 +198,7 @@ def parted(c: Column | str) -> Column:
 
 def percent(a: Column, b: Column) -> Column:
     """'12.5%', or 'n/a' of nothing."""
-    return F.when(b == 0, "n/a").otherwise(F.format_string("%.1f%%", a * 100.0 / b))
+    return F.when(b == 0, "n/a").otherwise(F.format_string("%.1f%%", F.bround(a * 100.0 / b, 1)))
 
 
 def hrefs(c: Column | str, containing: str = "") -> Column:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from priorview.session import materialise
+
 
 def assert_unique(rows: DataFrame, keys: list[str]) -> None:
     """Raises if two rows share a key: which of them should win isn't defined."""
@@ -199,6 +201,29 @@ def store_pages(pages: DataFrame, held: DataFrame) -> DataFrame:
     return now.join(old, "url", "left").select("url", "content_hash", status.alias("fetch_status"))
 
 
+def keep_pages(spark: SparkSession, path: str, pages: DataFrame) -> DataFrame:
+    """Stores fetched pages (url, html) in the table at ``path`` (url, content_hash, html): new ones are added, changed ones
+    overwritten, others left as they are. Returns (url, content_hash, fetch_status) of each; a url fetched twice at a time is an error."""
+    held = spark.read.parquet(path).select("url", "content_hash") if recover_table(spark, path) else spark.createDataFrame([], "url string, content_hash string")
+    status = store_pages(pages, held).persist()
+    try:
+        status.count()  # what was held has to be read before it is overwritten
+        fresh = status.filter(F.col("fetch_status").isin("fetched", "updated")).select("url", "content_hash").join(pages.select("url", "html"), "url")
+        upsert_table(spark, path, fresh, ["url"])
+        return materialise(status, "fetched")
+    finally:
+        status.unpersist()
+
+
+def seeds(single: str | None, queue: DataFrame | None, listing: DataFrame, url: str = "url") -> DataFrame:
+    """(url) to start a crawl from: the one address that was asked for, else the queue if it has any, else the listing; each once."""
+    if single:
+        return listing.sparkSession.createDataFrame([(single,)], f"`{url}` string")
+    named = lambda df: df.select(F.nullif(F.trim(url), F.lit("")).alias(url)).filter(F.col(url).isNotNull()).distinct()
+    queued = named(queue) if queue is not None else None
+    return queued if queued is not None and not queued.isEmpty() else named(listing)
+
+
 def status_index(events: DataFrame, manifest: DataFrame) -> DataFrame:
     """(event_id, event_status) of every event of either, the manifest's before the events'; 'completed' where neither says."""
     each = [t.select("event_id", F.coalesce(F.nullif(F.trim("event_status"), F.lit("")), F.lit("completed")).alias("event_status")) for t in (manifest, events)]

@@ -9,10 +9,11 @@ from priorview.operators import features as X
 from priorview.operators.history import participants
 from priorview.plans.general import _current, _id
 from priorview.session import table
+from priorview.sources.tables import scan
 
 
 def _sides(spark: SparkSession, d: str) -> DataFrame:
-    return participants(table(spark, d, "fights"), table(spark, d, "fight_events"), table(spark, d, "fight_stats_aggregate"))
+    return participants(*[scan(spark, d, t) for t in ("fights", "fight_events", "fight_stats_aggregate")])
 
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -21,7 +22,7 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def _snapshots(spark: SparkSession, d: str) -> DataFrame:
-    return X.snapshots(*[table(spark, d, t) for t in ("fights", "fight_events", "fight_stats_aggregate", "fighters")])
+    return X.snapshots(*[scan(spark, d, t) for t in ("fights", "fight_events", "fight_stats_aggregate", "fighters")])
 
 
 def q_participants(spark: SparkSession, d: str) -> DataFrame:
@@ -37,6 +38,11 @@ def q_rolling(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(X.rolling(_sides(spark, d)))
 
 
+def q_rolling_windows(spark: SparkSession, d: str) -> DataFrame:
+    """The rolling family over other windows: two and seven bouts."""
+    return _rounded(X.rolling(_sides(spark, d), (2, 7)))
+
+
 def q_decay(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(X.decayed(_sides(spark, d)))
 
@@ -49,6 +55,11 @@ def q_elo(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(X.ratings(table(spark, d, "fights"), table(spark, d, "fight_events")))
 
 
+def q_elo_change(spark: SparkSession, d: str) -> DataFrame:
+    """Both ratings before a bout, and how the own one has changed since before the bout before."""
+    return _rounded(_snapshots(spark, d).select("fight_id", "fighter_id", "pre_fight_elo", "opponent_pre_fight_elo", "elo_change_last_fight"))
+
+
 def q_opponent(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(X.opponent_adjusted(X.rated_sums(_sides(spark, d), X.ratings(table(spark, d, "fights"), table(spark, d, "fight_events")))))
 
@@ -66,7 +77,7 @@ def q_bout_pairs(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(X.bout_pairs(_snapshots(spark, d)))
 
 
-QUERIES = {f.__name__: f for f in (q_participants, q_career, q_rolling, q_decay, q_physical, q_elo, q_opponent, q_snapshots, q_bouts, q_bout_pairs)}
+QUERIES = {f.__name__: f for f in (q_participants, q_career, q_rolling, q_rolling_windows, q_decay, q_physical, q_elo, q_elo_change, q_opponent, q_snapshots, q_bouts, q_bout_pairs)}
 
 _METRICS = {"sig_l": "sig_strikes_landed", "sig_a": "sig_strikes_attempted", "td_l": "takedowns_landed", "td_a": "takedowns_attempted", "sub": "submissions_attempted", "kd": "knockdowns", "ctrl": "control_time_seconds"}
 _DUR = "CASE WHEN finish_method = 'decision' THEN scheduled_rounds * 300.0 ELSE coalesce((finish_round - 1) * 300.0 + finish_time_seconds, scheduled_rounds * 300.0) END"
@@ -150,9 +161,11 @@ SQL = {
     "q_participants": f"WITH {_BASE} SELECT fight_id, me AS fighter_id, ot AS opponent_id, d AS event_date, won, title AS is_title_fight, dur, has_my AS has_my_stats, has_opp AS has_opp_stats, my_sig_l, op_sig_l AS opp_sig_l FROM p",
     "q_career": f"WITH {_BASE} SELECT t.fight_id, t.me AS fighter_id, {_round(_CAREER)}, {_STREAK.format(c='q.won')}::INT AS current_win_streak, {_STREAK.format(c=chr(39).join(('q.res = ', 'win', ' AND NOT q.won')))}::INT AS current_lose_streak FROM p t LEFT JOIN p h ON h.me = t.me AND h.d < t.d GROUP BY t.fight_id, t.me, t.d",
     "q_rolling": _ROLL,
+    "q_rolling_windows": _ROLL.rsplit("\n", 1)[0] + f"\nSELECT fight_id, me AS fighter_id, {', '.join(_rolled(n) for n in (2, 7))} FROM h",
     "q_decay": f"WITH {_BASE} SELECT t.fight_id, t.me AS fighter_id, {_DEC} {_HIST}",
     "q_physical": f"WITH {_BASE}, f AS {_current('fighters', 'fighter_id')}, act AS ({_ACT}) {_PHY}",
     "q_elo": f"WITH RECURSIVE {_BASE}, {_ELO} SELECT fight_id, fighter_id, round(pre_elo, 6) AS pre_elo FROM elo",
+    "q_elo_change": f"WITH RECURSIVE {_BASE}, {_ELO}, r AS (SELECT p.fight_id, p.me, p.ot, p.d, elo.pre_elo FROM p JOIN elo ON elo.fight_id = p.fight_id AND elo.fighter_id = p.me) SELECT t.fight_id, t.me AS fighter_id, round(any_value(t.pre_elo), 6) AS pre_fight_elo, round(any_value(o.pre_elo), 6) AS opponent_pre_fight_elo, round(any_value(t.pre_elo) - (max(struct_pack(d := h.d, f := h.fight_id, x := h.pre_elo)) FILTER (WHERE h.me IS NOT NULL)).x, 6) AS elo_change_last_fight FROM r t JOIN r o ON o.fight_id = t.fight_id AND o.me = t.ot LEFT JOIN r h ON h.me = t.me AND h.d < t.d GROUP BY t.fight_id, t.me",
     "q_opponent": f"WITH RECURSIVE {_BASE}, {_ELO}, {_OPP}",
 }
 

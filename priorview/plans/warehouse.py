@@ -15,7 +15,7 @@ from priorview.plans.features import _BASE, _ELO, _bout_sql, _sides, _snapshots
 from priorview.plans.general import FINISH_METHODS, _current, _id
 from priorview.operators import features as X
 from priorview.session import scratch_path, table
-from priorview.sources.tables import numeric_columns
+from priorview.sources.tables import numeric_columns, read_csv, with_status, write_report
 
 #: The numeric columns of the two feature tables, all of them (``numeric_columns``); the SQL names them.
 SNAPSHOT_NUMBERS = ["feature_version", "career_fights", "career_wins", "career_losses", "career_win_rate", "career_minutes", "career_sig_strikes_landed_pm", "career_takedown_accuracy", "age", "height_cm", "reach_cm", "days_since_last_fight", "elo_rating"]
@@ -200,6 +200,40 @@ def q_pages(spark: SparkSession, d: str) -> DataFrame:
     return M.store_pages(docs, held)
 
 
+def q_page_store(spark: SparkSession, d: str) -> DataFrame:
+    """Texts kept as pages, fetched again with every second one changed: the table then, with the state of the last fetch."""
+    docs, path = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("url"), F.col("text").alias("html")), scratch_path(spark, "pages")
+    M.keep_pages(spark, path, docs.filter("html is not null and url % 3 <> 0"))
+    again = M.keep_pages(spark, path, docs.filter("url % 5 <> 0").withColumn("html", F.when(F.length("html") % 2 == 0, F.concat("html", F.lit("."))).otherwise(F.col("html"))))
+    kept = spark.read.parquet(path).select("url", "content_hash", F.length("html").alias("chars"))
+    return kept.join(again.select("url", "fetch_status"), "url", "full_outer")
+
+
+def q_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Current cards written as a CSV report and read back as texts, with the status of a manifest that has some of them."""
+    cards = current_rows(table(spark, d, "fight_events"), "event_id", ["event_id", "event_name", "city", "event_date"])
+    path = scratch_path(spark, "report")
+    write_report(cards.select("event_id", "event_name", "city", "event_date"), path, ["event_id"])
+    manifest = cards.filter("event_date >= '2015-08-01'").select("event_id", F.lit("upcoming").alias("event_status"))
+    none = read_csv(spark, f"{path}-absent", ["event_id"], optional=True)
+    return with_status(read_csv(spark, path, ["event_id", "event_name", "city", "event_date"]), manifest).join(none, "event_id", "left_anti")
+
+
+def q_raw_scalars(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of profile pages, made of the profile rows, taken apart."""
+    rows = table(spark, d, "fighters")
+    whole = F.floor(F.col("height_cm").cast("double") / 2.54 + 0.5).cast("int")
+    texts = rows.select(
+        "fighter_id", "load_id", "scraped_at", F.concat(F.floor(whole / 12).cast("string"), F.lit("' "), (whole % 12).cast("string"), F.lit('"')).alias("h"), F.concat(F.floor(F.col("reach_cm") / 2).cast("string"), F.lit('"')).alias("r"),
+        F.concat(F.month("dob").cast("string"), F.lit("-"), F.dayofmonth("dob").cast("string"), F.lit("-0 (3 NC)")).alias("w"), F.coalesce(F.date_format("dob", "MMM dd, yyyy"), F.lit("--")).alias("b"), F.concat_ws(", ", "last_name", "stance", "first_name").alias("p"), F.concat(F.dayofmonth("dob").cast("string"), F.lit(":"), F.month("dob").cast("string")).alias("c"),
+    )
+    feet, inches, cm = S.height("h")
+    won, lost, drawn, void = S.record("w")
+    city, state, country = S.location("p")
+    minute, second = S.clock(F.coalesce("c", F.lit("--")))
+    return texts.select("fighter_id", "load_id", feet.alias("feet"), inches.alias("inches"), F.round(cm, 6).alias("cm"), S.reach_cm("r").alias("reach"), won.alias("won"), lost.alias("lost"), drawn.alias("drawn"), void.alias("void"), S.short_date("b").alias("born"), city.alias("city"), state.alias("state"), country.alias("country"), minute.alias("minute"), second.alias("second"), S.joined(S.parted("p")).alias("parts"), S.percent(won, lost + drawn).alias("percent"))
+
+
 def q_scalars(spark: SparkSession, d: str) -> DataFrame:
     """Text functions over names and addresses of all profile rows."""
     rows = table(spark, d, "fighters")
@@ -370,6 +404,12 @@ SELECT k AS fight_id FROM f WHERE e IN (SELECT k FROM ahead) OR (k NOT IN (SELEC
     "q_registry": f"""WITH r AS (SELECT {_id('event_id')} AS event_id, event_name, scraped_at, load_id = (SELECT max(load_id) FROM fight_events) AS new FROM fight_events), s AS (SELECT event_id, new, max(struct_pack(a := scraped_at, b := event_name)).b AS event_name, min(scraped_at) AS d, max(scraped_at) AS l FROM r WHERE event_id IS NOT NULL GROUP BY 1, 2)
 SELECT coalesce(n.event_id, o.event_id) AS event_id, coalesce(nullif(n.event_name, ''), nullif(o.event_name, '')) AS event_name, epoch_us(coalesce(o.d, n.d)) AS discovered_at, epoch_us(coalesce(n.l, o.l)) AS last_seen_at FROM (SELECT * FROM s WHERE new) n FULL JOIN (SELECT * FROM s WHERE NOT new) o ON n.event_id = o.event_id""",
     "q_pages": "SELECT doc_id::VARCHAR AS url, sha256(text) AS content_hash, CASE WHEN text IS NULL THEN 'failed' WHEN lang IS DISTINCT FROM 'en' THEN 'fetched' WHEN length(text) % 2 = 0 THEN 'unchanged' ELSE 'updated' END AS fetch_status FROM documents",
+    "q_page_store": """WITH d AS (SELECT doc_id::VARCHAR AS url, text, doc_id % 3 <> 0 AND text IS NOT NULL AS first, doc_id % 5 <> 0 AS again, CASE WHEN length(text) % 2 = 0 THEN text || '.' ELSE text END AS t2 FROM documents)
+SELECT url, CASE WHEN again AND t2 IS NOT NULL THEN sha256(t2) WHEN first THEN sha256(text) END AS content_hash, CASE WHEN again AND t2 IS NOT NULL THEN length(t2) WHEN first THEN length(text) END AS chars, CASE WHEN NOT again THEN NULL WHEN text IS NULL THEN 'failed' WHEN NOT first THEN 'fetched' WHEN t2 = text THEN 'unchanged' ELSE 'updated' END AS fetch_status FROM d WHERE again OR first""",
+    "q_csv": f"SELECT k AS event_id, event_name, city, event_date::VARCHAR AS event_date, CASE WHEN event_date >= DATE '2015-08-01' THEN 'upcoming' ELSE 'completed' END AS event_status FROM {_current('fight_events', 'event_id')}",
+    "q_raw_scalars": """WITH r AS (SELECT *, floor(height_cm::DOUBLE / 2.54 + 0.5)::INT AS w, list_filter([last_name, stance, first_name], lambda v: v IS NOT NULL) AS l FROM fighters), t AS (SELECT *, list_transform(string_split(array_to_string(l, ', '), ','), lambda v: trim(v)) AS p FROM r)
+SELECT fighter_id, load_id, w // 12 AS feet, w % 12 AS inches, round(w * 2.54, 6) AS cm, floor(abs(floor(reach_cm / 2)) * 2.54)::INT AS reach, coalesce(month(dob), 0)::INT AS won, coalesce(day(dob), 0)::INT AS lost, 0 AS drawn, CASE WHEN dob IS NULL THEN 0 ELSE 3 END AS void, dob AS born, CASE WHEN len(p) IN (2, 3) THEN p[1] ELSE '' END AS city, CASE WHEN len(p) = 3 THEN p[2] ELSE '' END AS state, CASE WHEN len(p) = 3 THEN p[3] WHEN len(p) = 2 THEN p[2] ELSE '' END AS country, coalesce(day(dob), 0)::INT AS minute, coalesce(month(dob), 0)::INT AS second, array_to_string(list_filter(p, lambda v: v <> ''), ', ') AS parts,
+ CASE WHEN dob IS NULL THEN 'n/a' ELSE printf('%.1f%%', 100.0 * month(dob) / day(dob)) END AS percent FROM t""",
     "q_scalars": """WITH r AS (SELECT *, 'https://www.example.org/' || coalesce(source_url, '') AS u FROM fighters), h AS (SELECT *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(u)) AS x, trim(regexp_replace(full_name, '[\\t-\\r\\x1c-\\x20\\x85\\p{Z}]+', ' ', 'g')) AS nm FROM r)
 SELECT fighter_id, load_id, substr(x, 1, 8) || '-' || substr(x, 9, 4) || '-5' || substr(x, 14, 3) || '-' || substr('89ab89ab89ab89ab', instr('0123456789abcdef', substr(x, 17, 1)), 1) || substr(x, 18, 3) || '-' || substr(x, 21, 12) AS page_id, replace(u, '://www.', '://') AS url, CASE WHEN contains(u, 'event-details') THEN 'event' WHEN contains(u, 'fight-details') THEN 'fight' WHEN contains(u, 'fighter-details') THEN 'fighter' ELSE 'unknown' END AS entity,
 nm AS name, split_part(nm, ' ', 1) AS first_word, array_to_string(string_split(nm, ' ')[2:], ' ') AS other_words, nullif(trim(stance), '') AS stance FROM h""",

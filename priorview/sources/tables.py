@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Columns of the warehouse tables that scans project, by table.
+from priorview.operators.loaders import COUNTERS
+
+#: Columns of the warehouse tables that feature scans project, by table, with the time that tells the current row of a key.
 PROJECTIONS = {
-    "fight_events": ["event_id", "event_name", "event_date", "city", "state", "country", "event_status"],
-    "fighters": ["fighter_id", "full_name", "first_name", "last_name", "nickname", "height_cm", "weight_lbs", "reach_cm", "stance", "dob"],
-    "fights": ["fight_id", "event_id", "fighter_1_id", "fighter_2_id", "winner_fighter_id", "result_type", "weight_class", "is_title_fight", "is_interim_title", "scheduled_rounds", "finish_method", "finish_detail", "finish_round", "finish_time_seconds", "referee"],
+    "fight_events": ["event_id", "event_name", "event_date", "city", "state", "country", "event_status", "scraped_at"],
+    "fighters": ["fighter_id", "full_name", "first_name", "last_name", "nickname", "height_cm", "weight_lbs", "reach_cm", "stance", "dob", "scraped_at"],
+    "fights": ["fight_id", "event_id", "fighter_1_id", "fighter_2_id", "winner_fighter_id", "result_type", "weight_class", "is_title_fight", "is_interim_title", "scheduled_rounds", "finish_method", "finish_detail", "finish_round", "finish_time_seconds", "referee", "scraped_at"],
+    "fight_stats_aggregate": ["fight_stat_id", "fight_id", "fighter_id", *COUNTERS, "scraped_at"],
 }
 
 

@@ -120,3 +120,14 @@ def test_prior_helpers_match_brute_force(spark):
         while run < len(before) and before[-1 - run][3]:
             run += 1
         assert (sums[k, day] or 0) == sum(d[4] for d in before) and runs[k, day] == run and last[k, day] == [d[2] for d in before[-3:]]
+
+
+def test_a_registered_family_is_computed_like_the_others(spark):
+    X.register("titles", lambda: {"t": X._n(F.col("is_title_fight")), "n": F.lit(1)}, lambda: {"title_share": F.col("t") / F.col("n")})
+    try:
+        p = sides(spark, [fight(1, "2020-01-01", "a", "b", "a", title=True), fight(2, "2020-02-01", "a", "b", "a"), fight(3, "2020-03-01", "a", "b", "b")])
+        f = X.family(p, "titles")
+        assert row(f, "f3", "a").title_share == 0.5 and row(f, "f1", "a").title_share is None
+        assert row(X.family(p, "career"), "f3", "a").wins == row(X.career(p), "f3", "a").wins == 2
+    finally:
+        del X.FAMILIES["titles"]

@@ -167,3 +167,14 @@ def test_what_to_fetch_and_the_bout_queue(spark, rows):
     old = spark.createDataFrame([("f4", "e8", "w4", "other", "done", t(1)), ("f5", "e5", "w5", "", "pending", t(1))], B + ", stats_status string, queued_at timestamp")
     got = rows(M.bout_queue([one, two], status, old, "2020-02-01 00:00:00"))
     assert got == [("f1", "e1", "u1", "decision", "pending", datetime(2020, 2, 1)), ("f3", "e3", "v3", None, "pending", datetime(2020, 2, 1)), ("f4", "e9", "u4", "other", "done", t(1)), ("f5", "e5", "w5", None, "pending", t(1))]
+
+
+def test_kept_pages_and_seeds(spark, tmp_path, rows):
+    path, P = str(tmp_path / "pages"), "url string, html string"
+    first = M.keep_pages(spark, path, spark.createDataFrame([("u", "x"), ("v", "y"), ("w", None)], P))
+    assert rows(first.select("url", "fetch_status")) == [("u", "fetched"), ("v", "fetched"), ("w", "failed")]
+    again = M.keep_pages(spark, path, spark.createDataFrame([("u", "x"), ("v", "z"), ("n", "")], P))
+    assert rows(again.select("url", "fetch_status")) == [("n", "fetched"), ("u", "unchanged"), ("v", "updated")]
+    assert rows(spark.read.parquet(path).select("url", "html")) == [("n", ""), ("u", "x"), ("v", "z")]
+    listing, queue = spark.createDataFrame([("l",), ("l",), ("",)], "url string"), spark.createDataFrame([("q",), (None,)], "url string")
+    assert rows(M.seeds("s", queue, listing)) == [("s",)] and rows(M.seeds(None, queue, listing)) == [("q",)] and rows(M.seeds(None, queue.limit(0), listing)) == rows(M.seeds(None, None, listing)) == [("l",)]
