@@ -13,7 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables her
 
 FAULTS = [
     ("q_leakage_given", "fighter_snapshots", "career_fights = career_fights + 1", "as_of_date IN (SELECT event_date FROM fight_events)"), ("q_leakage_given", "bout_features", "label = 1 - label", "label IS NOT NULL"),
-    ("q_leakage_elo_given", "fighter_snapshots", "elo_rating = 1000", "is_debut AND fight_id IN (SELECT fight_id FROM fights)"), ("p3_loads", "fights", "finish_method = 'nonsense'", "finish_method = 'decision'"), ("p3_profile", "bout_features", "diff_elo = -99999", "true"),
+    ("q_leakage_elo_given", "fighter_snapshots", "elo_rating = 1500", "is_debut AND career_fights = 0 AND fight_id IN (SELECT fight_id FROM fights)"), ("p3_loads", "fights", "finish_method = 'nonsense'", "finish_method = 'decision'"), ("p3_profile", "bout_features", "diff_elo = -99999", "true"),
     ("p3_withdrawn", "fights", "referee = '!'", "load_id = 2"), ("p3_current", "fighters", "stance = '!'", "true"), ("q_parts_differ", "fight_stats_aggregate", "knockdowns = knockdowns + 2", "knockdowns % 3 = 0"), ("q_normalised", "fights", "weight_class = 'women_strawweight'", "weight_class LIKE 'women_fly%'"),
     ("q_row_equalities", "fights", None, "true"), ("q_event_coverage", "fight_events", "date_formatted = ' '", "event_status = 'completed' AND length(date_formatted) > 3"), ("q_load_fights", "fights", "winner_fighter_id = NULL", "result_type = 'win' AND lower(trim(winner_fighter_id)) = lower(trim(fighter_1_id))"),
     ("q_load_stats", "fight_stats_aggregate", "reversals = reversals + 1", "lower(trim(fight_id)) IN (SELECT fight_id FROM fights)"), ("q_page_fights", "fights", "judge_1 = 'Somebody Else'", "judge_1 <> '' AND trim(referee) <> '' AND scheduled_rounds > 0 AND event_id <> '' AND fighter_1_id <> '' AND fighter_2_id <> ''"), ("q_upsert", "fights", "referee = '!'", "load_id = (SELECT max(load_id) FROM fights)"),
@@ -43,6 +43,7 @@ def test_a_wrong_cell_shows(spark, tmp_path, name, table, change, where):
 
 def test_every_audit_can_fail(spark):
     """Features built from the tables, each check with one planted fault."""
+    from pyspark.sql import Window
     from pyspark.sql import functions as F
 
     from priorview.operators import features as X
@@ -54,7 +55,8 @@ def test_every_audit_can_fail(spark):
     audit = lambda snap, b: {r.check_name: r.failures for r in Q.leakage_audit(snap, sides, b).collect()}
     elo = lambda snap: {r.check_name: r.failures for r in Q.elo_audit(snap, sides).collect()}
     assert not any(audit(s, bouts).values()) and not any(elo(s).values())
-    debut, later = (s.filter(c).orderBy("fight_id", "fighter_id").first() for c in ("total_fights = 0", "total_fights > 2"))
+    alone = s.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("fighter_id", "as_of_date"))).filter("n = 1")
+    debut, later = (alone.filter(c).orderBy("fight_id", "fighter_id").first() for c in ("total_fights = 0", "total_fights > 2"))
     at = lambda r: (F.col("fight_id") == r.fight_id) & (F.col("fighter_id") == r.fighter_id)
     put = lambda df, c, r, v: df.withColumn(c, F.when(at(r), F.lit(v)).otherwise(F.col(c)))
     assert audit(put(s, "total_fights", later, 0), bouts) == {"prior_count": 1, "monotone": 1, "debut": 0, "label": 0}
