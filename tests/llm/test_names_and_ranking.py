@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from priorview.functions.keys import current_rows
-from priorview.llm.names import SHORT_FORMS, Linking, Physique, banded, candidates, cluster_pairs, link_profiles, link_spellings, monge_elkan, name_tokens, numbered, same_name, shared_bands, star_clusters, token_similarity, tokenised, verified
+from priorview.llm.names import SHORT_FORMS, Linking, Physique, banded, bits_of, candidates, cluster_pairs, lettered, link_profiles, link_spellings, may_be_one, met_by, monge_elkan, name_tokens, near, numbered, same_name, shared_bands, star_clusters, token_similarity, tokenised, verified
 from priorview.llm.queries import p6_ranking
 from priorview.llm.ranking import Scaling, comparisons, met, rank_items
 from priorview.session import table
@@ -64,6 +64,55 @@ def test_names_too_much_alike_to_be_split_keep_their_links(spark):
     assert candidates(bands, bands).count() == 40 * 39 // 2
 
 
+def test_a_large_band_keeps_all_its_pairs(spark):
+    """Names that share a band and nothing else are no less candidates because many share it."""
+    how, r = Linking(hot=7), random.Random(5)
+    names = numbered(spark.createDataFrame([(f"n{i:02d}", ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))]) for i in range(60)], "node string, tokens array<string>"), how)
+    bands = names.select(F.lit(5).cast("bigint").alias("band"), "id").unionByName(names.limit(3).select(F.lit(6).cast("bigint").alias("band"), "id"))
+    shared, _ = shared_bands(bands, names, how)
+    assert candidates(shared, shared).count() == 60 * 59 // 2
+    assert shared.groupBy("band").count().agg(F.max("count")).first()[0] < 40
+    met_ = met_by(names.select("id", F.lit(1).alias("k")), names.select("id", F.lit(1).alias("k")), "k", F.col("l.id") < F.col("r.id"), 7)
+    assert met_.count() == met_.distinct().count() == 60 * 59 // 2
+
+
+def test_the_test_of_letters_and_the_bits_of_bands_leave_out_nothing(spark):
+    how, r = Linking(short_forms=SHORT_FORMS), random.Random(6)
+    given, family = ["katherine", "jo", "lee", "sam", "maximilian", "anna", "k"], ["bardawyn", "horsirook", "ng", "calgakov", "li", "salgadian", "katz"]
+
+    def typo(w):
+        for _ in range(r.choice([0, 0, 1, 1, 2, 3])):
+            i = r.randrange(len(w))
+            w = r.choice([w[:i] + r.choice("aeklnz") + w[i + 1 :], w[:i] + r.choice("aeklnz") + w[i:], w[:i] + w[i + 1 :] if len(w) > 1 else w, w[:i] + w[i : i + 2][::-1] + w[i + 2 :]])
+        return w
+
+    forms = [lambda g, f: [g, f], lambda g, f: [f, g], lambda g, f: [g[0], f], lambda g, f: [g + f], lambda g, f: [f], lambda g, f: [g, r.choice(family), f], lambda g, f: [g, f + g]]
+    names = {" ".join(t): t for t in (r.choice(forms)(typo(r.choice(given)), typo(r.choice(family))) for _ in range(500))}
+    nodes = numbered(lettered(spark.createDataFrame([(n, t) for n, t in names.items()], "node string, tokens array<string>"), how), how)
+    both = nodes.alias("l").crossJoin(nodes.alias("r")).filter("l.node < r.node")
+    kept = {(x.a, x.b) for x in both.filter(may_be_one()).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).collect()}
+    kept &= {(x.a, x.b) for x in both.filter(near(how)).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).collect()}
+    held = sorted(nodes.collect(), key=lambda x: x.node)
+    one = {(a.node, b.node) for a, b in itertools.combinations(held, 2) if same_name(a.tokens, b.tokens, a.rare, b.rare, how)}
+    assert len(one) > 500 and one <= kept and len(kept) < len(held) * (len(held) - 1) // 4
+    few = banded(nodes.filter("id % 3 = 0"), how)
+    asked = banded(nodes, how, [], bits_of(few)).distinct()
+    assert banded(nodes, how).join(few.select("band").distinct(), "band", "left_semi").distinct().exceptAll(asked).isEmpty()
+
+
+def test_crowded_days_and_bands_of_profiles_are_compared_whole(spark):
+    """Brute force over profiles of one day and of unknown days, with hardly a gram in common and bands of any size."""
+    r, how = random.Random(2), Linking(rows=3, similarity=0.4, recall=0.97, hot=4)
+    names = ["Ana Bo", "Ama Bo", "Eva Kim", "Ewa Kim", "Lena Ostrandir", "Lema Ostrandir", "Samuel Kalovik", "Samual Kalowik"]
+    rows = [(f"{i:03d}", r.choice(names), r.choice([date(1990, 1, 1), date(1990, 1, 1), None]), r.choice([170.0, 190.0]), None) for i in range(60)]
+    frame = spark.createDataFrame(rows, "id string, name string, born date, h double, r double")
+    got = [{tuple(x) for x in cluster_pairs(link_profiles(frame, "id", "name", "born", Physique({"h": 2.5, "r": 2.0}), how=h), "key", "cluster").collect()} for h in (how, replace(how, hot=10**6))]
+    assert got[0] == got[1]
+    born = [x for x in rows if x[2]]
+    one = {(a[0], b[0]) for a, b in itertools.combinations(born, 2) if a[1][-3:] == b[1][-3:] and a[1].split()[0] == b[1].split()[0]}
+    assert len(one) > 50 and one <= got[0]
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables here")
 def test_bands_find_the_links_of_brute_force(spark):
     """All pairs of the officials' names, verified one by one, against those that share a band."""
