@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from priorview.functions.keys import current_rows
 from priorview.llm.names import SHORT_FORMS, Linking, Physique, banded, bits_of, candidates, cluster_pairs, lettered, link_profiles, link_spellings, may_be_one, met_by, monge_elkan, name_tokens, near, numbered, same_name, shared_bands, star_clusters, token_similarity, tokenised, verified
+from priorview.llm import ranking
 from priorview.llm.queries import p6_ranking
 from priorview.llm.ranking import Scaling, comparisons, met, rank_items
 from priorview.session import table
@@ -250,3 +251,13 @@ def test_scaling_never_ends_unsettled(spark, block, words):
     pairs = spark.createDataFrame([("a", "b", 9.0), ("b", "c", 9.0), ("c", "d", 9.0)], "winner string, loser string, n double")
     with pytest.raises(Exception, match=words):
         rank_items(pairs, spark.createDataFrame([], "id string"), Scaling(guard=1, block=block)).collect()
+
+
+def test_a_group_of_over_a_million_pairs_needs_no_rounds_over_the_cluster(spark, monkeypatch):
+    """One task settles it; its logarithms average 0."""
+    monkeypatch.setattr(ranking, "_over_cluster", lambda *_: pytest.fail("rounds over the cluster"))
+    item = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(100_000)).cast("string")
+    pairs = spark.range(1_020_000).select(item(1).alias("winner"), item(2).alias("loser"), F.lit(1.0).alias("n")).filter("winner <> loser")
+    got = rank_items(pairs, spark.createDataFrame([], "id string"))
+    logs = np.array([r.x for r in got.select(F.log("strength").alias("x")).collect()])
+    assert met(pairs).count() > 1_000_000 and len(logs) == 100_000 and abs(logs.mean()) < 1e-6 and np.isfinite(logs).all()
